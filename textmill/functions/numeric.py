@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bind_once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often the body uses it.
+
+    An expression used inside a lambda is otherwise computed again for every element of the array it runs over.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def fingerprint(key: Column, seed: str = "") -> Column:
     """Eight hex digits of md5, a stable pseudo-random text per key."""
     text = key.cast("string") if not seed else F.concat(key.cast("string"), F.lit("#" + seed))

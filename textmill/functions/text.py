@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions import lexicon
+from textmill.functions.numeric import bind_once
 
 # Token and text patterns.
 SPACE_SPLIT = r"\s+"
@@ -28,6 +29,10 @@ ENTITY_TOKEN = (
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 URL = r"^(?:https?://|www\.)"
 NUMBER = r"^[+~-]?[0-9]+(?:[.,/][0-9]+)*$"
+ADDRESS = r"\b[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}|\b(?:https?://|www\.)[^\s<>]+"
+ADDRESS_HINT = r"@|://|www\."
+NON_WORD = r"[^\p{L}\p{N}_]+"
+NO_LETTER = r"^(?:[0-9]+|_+)$"
 PUNCT_ONLY = r"^[^\p{L}\p{N}]+$"
 INVISIBLE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 ANY_TAG = r"<[A-Za-z/!][^>]*>"
@@ -75,13 +80,19 @@ def html_text(html: Column) -> Column:
 
 
 def fold_accents(text: Column) -> Column:
-    """Latin letters and common typographic marks to ASCII; null becomes the empty string."""
+    """Latin letters and common typographic marks to ASCII; null becomes the empty string.
+
+    A text with as many bytes as characters is plain ASCII and is passed through untouched.
+    """
     source, target, multi = lexicon.accent_tables()
-    folded = F.translate(F.coalesce(text, F.lit("")), source, target)
+    folded = F.translate(text, source, target)
     # the multi-letter replacements only run for the few texts that still hold such a letter
     grown = reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), sorted(multi.items()), folded)
-    return F.when(folded.rlike("[" + "".join(sorted(multi)) + r"\p{Mn}]"), F.regexp_replace(grown, r"\p{Mn}", "")).otherwise(
-        folded
+    return (
+        F.when(text.isNull(), F.lit(""))
+        .when(F.octet_length(text) == F.char_length(text), text)
+        .when(text.rlike("[" + "".join(sorted(multi)) + r"\p{Mn}]"), F.regexp_replace(grown, r"\p{Mn}", ""))
+        .otherwise(folded)
     )
 
 
@@ -137,19 +148,22 @@ def token_filters(tokens: Column, mode: str = "language", **lists) -> Column:
 
 
 def lemma(token: Column, lemmas: dict[str, str] = lexicon.LEMMAS) -> Column:
-    """Dictionary form of a lower-cased token: irregular forms first, then plural endings, else the token itself."""
-    low = F.lower(token)
+    """Dictionary form of a token: irregular forms first, then plural endings, else the token in lower case."""
+    return _lemma_of_lower(F.lower(token), lemmas)
+
+
+def _lemma_of_lower(low: Column, lemmas: dict[str, str] = lexicon.LEMMAS) -> Column:
     size = F.length(low)
-    regular = (
-        F.when(low.endswith("ies") & (size > 4), F.concat(low.substr(F.lit(1), size - 3), F.lit("y")))
+    rules = F.when(~low.endswith("s"), low)
+    if lemmas:
+        table = F.create_map(*[F.lit(x) for pair in sorted(lemmas.items()) for x in pair])
+        rules = F.when(low.isin(list(lemmas)), F.element_at(table, low)).when(~low.endswith("s"), low)
+    return (
+        rules.when(low.endswith("ies") & (size > 4), F.concat(low.substr(F.lit(1), size - 3), F.lit("y")))
         .when(low.rlike("(?:ss|x|ch|sh|zz)es$") & (size > 4), low.substr(F.lit(1), size - 2))
-        .when(low.endswith("s") & (size > 3) & ~low.rlike("(?:ss|us|is|as)$"), low.substr(F.lit(1), size - 1))
+        .when((size > 3) & ~low.rlike("(?:ss|us|is|as)$"), low.substr(F.lit(1), size - 1))
         .otherwise(low)
     )
-    if not lemmas:
-        return regular
-    table = F.create_map(*[F.lit(x) for pair in sorted(lemmas.items()) for x in pair])
-    return F.when(low.isin(list(lemmas)), F.element_at(table, low)).otherwise(regular)
 
 
 def lemmatise_tokens(tokens: Column) -> Column:
@@ -157,14 +171,41 @@ def lemmatise_tokens(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: lemma(t))
 
 
-def lemmatise(text: Column, mode: str = "language") -> Column:
-    """Meaningful tokens in dictionary form, lower case, joined by one space."""
-    return F.array_join(lemmatise_tokens(token_filters(tokenise(text, "entities"), mode)), " ")
+def lemma_words(text: Column) -> Column:
+    """Lemmas of the meaningful words of a text as an array.
+
+    The same words as ``lemmatise_tokens(token_filters(tokenise(text, 'entities')))``, found with fewer steps per word:
+    e-mails and URLs are cut out of the lower-cased text, the rest is split at everything that is no letter, digit or
+    underscore, and only stop words, number words and all-digit words are left to drop.
+    """
+    dropped = [*lexicon.STOP_WORDS, *lexicon.NUMBER_WORDS, ""]
+
+    def words(low: Column) -> Column:
+        bare = F.when(low.rlike(ADDRESS_HINT), F.regexp_replace(low, ADDRESS, " ")).otherwise(low)
+        kept = F.filter(F.split(bare, NON_WORD), lambda w: ~w.isin(dropped) & ~w.rlike(NO_LETTER))
+        return F.transform(kept, lambda w: _lemma_of_lower(w))
+
+    return bind_once(F.lower(text), words)
+
+
+def lemmatise(text: Column) -> Column:
+    """Meaningful words in dictionary form, lower case, joined by one space."""
+    return F.array_join(lemma_words(text), " ")
 
 
 def clean_text(text: Column) -> Column:
-    """Accents folded, meaningful tokens in dictionary form, punctuation gone."""
-    return strip_punct(lemmatise(fold_accents(text)))
+    """Accents folded, meaningful words in dictionary form, punctuation gone: strip_punct(lemmatise(fold_accents)).
+
+    Words hold letters, digits and underscores only, so without an underscore in the text the punctuation step comes down
+    to dropping one-character words.
+    """
+
+    def clean(raw: Column) -> Column:
+        words = lemma_words(fold_accents(raw))
+        short = F.array_join(F.filter(words, lambda w: F.length(w) > 1), " ")
+        return F.when(F.contains(raw, F.lit("_")), strip_punct(F.array_join(words, " "))).otherwise(short)
+
+    return bind_once(text, clean)
 
 
 def ngrams(tokens: Column, low: int = 1, high: int = 1, sep: str = " ") -> Column:
@@ -172,15 +213,17 @@ def ngrams(tokens: Column, low: int = 1, high: int = 1, sep: str = " ") -> Colum
     if not 1 <= low <= high:
         raise ValueError("ngram range needs 1 <= low <= high")
 
-    def of_size(n: int) -> Column:
+    def of_size(words: Column, n: int) -> Column:
         if n == 1:
-            return tokens
-        last = F.array_size(tokens) - (n - 1)
+            return words
+        last = F.array_size(words) - (n - 1)
         starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), sep))
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), sep))
+
+    def of_sizes(words: Column) -> Column:
+        return F.concat(*[of_size(words, n) for n in range(low, high + 1)])
 
-    parts = [of_size(n) for n in range(low, high + 1)]
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+    return tokens if (low, high) == (1, 1) else bind_once(tokens, of_sizes)
 
 
 def parse_ngram_range(text: str) -> tuple[int, int]:

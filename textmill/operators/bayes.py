@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.functions.numeric import bind_once
 from textmill.operators import features
 from textmill.staging import stage
 
@@ -164,8 +165,9 @@ def argmax_label(scores: Column, classes: Sequence) -> Column:
 
 def softmax(scores: Column) -> Column:
     """Scores to probabilities, shifted by the largest score."""
-    shifted = F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))
-    return F.transform(shifted, lambda e: e / F.aggregate(shifted, F.lit(0.0), lambda a, b: a + b))
+    shifted = bind_once(F.array_max(scores), lambda top: F.transform(scores, lambda s: F.exp(s - top)))
+    total = F.aggregate(shifted, F.lit(0.0), lambda a, b: a + b)
+    return bind_once(F.struct(shifted.alias("e"), total.alias("t")), lambda v: F.transform(v["e"], lambda e: e / v["t"]))
 
 
 def predict_nb(counts: DataFrame, model: LinearModel, key: str = "id", keep: Sequence[str] = ()) -> DataFrame:

@@ -15,7 +15,7 @@ from textmill.staging import stage
 
 # Bytes of one value of a fixed-width type.
 FIXED_WIDTH = {
-    "boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8, "date": 4, "timestamp": 8,
+    "boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8, "date": 4, "timestamp": 8, "timestamp_ntz": 8,
 }
 
 
@@ -98,13 +98,23 @@ def _paths(kind: T.DataType, prefix: str, value: Column) -> list[tuple[str, str,
     return found
 
 
+def _getter(name: str):
+    return lambda v: v.getField(name)
+
+
 def _array_paths(kind: T.DataType, prefix: str, array: Column) -> list[tuple[str, str, Column]]:
     size = F.array_size(F.filter(array, lambda v: v.isNotNull())).cast("bigint")
     found = [(f"{prefix}.element", kind.simpleString(), F.coalesce(size, F.lit(0)).cast("bigint"))]
     if isinstance(kind, T.StructType):
         for field in kind.fields:
-            inner = F.transform(array, lambda v, name=field.name: v.getField(name))
-            found += _array_paths(field.dataType, f"{prefix}.{field.name}", inner)
+            inner = F.transform(array, _getter(field.name))
+            nested = f"{prefix}.{field.name}"
+            present = F.array_size(F.filter(inner, lambda v: v.isNotNull())).cast("bigint")
+            found.append((nested, field.dataType.simpleString(), F.coalesce(present, F.lit(0)).cast("bigint")))
+            if isinstance(field.dataType, T.ArrayType):
+                found += _array_paths(field.dataType.elementType, nested, F.flatten(inner))
+            elif isinstance(field.dataType, T.StructType):
+                found += _array_paths(field.dataType, nested, inner)[1:]
     elif isinstance(kind, T.ArrayType):
         found += _array_paths(kind.elementType, f"{prefix}.element", F.flatten(array))
     return found

@@ -54,12 +54,12 @@ def conform(df: DataFrame, schema: T.StructType = CLEAN_POST) -> DataFrame:
     """Cast to a declared schema. Null in a required field stops the job; a null repeated field becomes empty."""
     columns = []
     for field in schema.fields:
-        value = F.col(field.name).cast(field.dataType)
+        value = F.col(field.name).cast(field.dataType.simpleString())
         if isinstance(field.dataType, T.ArrayType):
-            value = F.coalesce(value, F.array().cast(field.dataType))
+            value = F.coalesce(value, F.array().cast(field.dataType.simpleString()))
         elif not field.nullable:
             message = f"required field {field.name} is null"
-            value = F.when(value.isNull(), F.raise_error(F.lit(message)).cast(field.dataType)).otherwise(value)
+            value = F.when(value.isNull(), F.raise_error(F.lit(message)).cast(field.dataType.simpleString())).otherwise(value)
         columns.append(value.alias(field.name))
     return df.select(*columns)
 

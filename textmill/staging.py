@@ -39,3 +39,9 @@ def scalar_of(df: DataFrame, expr: str | F.Column):
     """One aggregate over ``df`` as a scalar subquery, usable inside any expression of another frame."""
     column = F.expr(expr) if isinstance(expr, str) else expr
     return df.agg(column.alias("value")).scalar()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over at least as many partitions as there are task slots, for sources of few large files."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
