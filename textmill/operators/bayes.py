@@ -59,11 +59,15 @@ def distinct_labels(df: DataFrame, label: str) -> list[tuple[str, int]]:
     return [(r[0], r[1]) for r in df.groupBy(label).agg(F.count("*").alias("n")).orderBy(label).collect()]
 
 
-def class_sums(values: DataFrame, members: Sequence[Column]) -> DataFrame:
-    """(term, total, s0, s1, ...): summed value per term over all rows and over the rows of each class."""
+def class_sums(values: DataFrame, members: Sequence[Column], by: Sequence[str]) -> DataFrame:
+    """(term, total, s0, s1, ...): summed value per term over all rows and over the rows of each class.
+
+    ``by`` names the columns the class conditions look at. Rows are summed per (term, by...) first, so the conditions run
+    on that small table and a frequent term of a frequent class is combined before the shuffle.
+    """
+    grouped = values.filter(F.col("value").isNotNull()).groupBy("term", *by).agg(F.sum("value").alias("value"))
     sums = [F.coalesce(F.sum(F.when(m, F.col("value"))), F.lit(0.0)).alias(f"s{i}") for i, m in enumerate(members)]
-    known = values.filter(F.col("value").isNotNull())
-    return known.groupBy("term").agg(F.sum("value").alias("total"), *sums)
+    return grouped.groupBy("term").agg(F.sum("value").alias("total"), *sums)
 
 
 def _column_totals(sums: DataFrame, n: int) -> tuple[int, float, list[float]]:
@@ -109,7 +113,7 @@ def fit_nb(
         vocab = vocab.withColumn("idf", F.lit(1.0))
     values = features.normalise(features.tfidf(counts, vocab), norm, key)
     members = [F.col(label) == name for name, _ in labels]
-    sums = stage(class_sums(values, members), "class-sums")
+    sums = stage(class_sums(values, members, [label]), "class-sums")
     return fit_from_sums(sums, vocab, [name for name, _ in labels], [n for _, n in labels], alpha, norm)
 
 
@@ -132,7 +136,7 @@ def fit_ovr_nb(
     vocab_params.setdefault("max_features", features.MAX_FEATURES)
     vocab = stage(features.fit_vocab(counts, key=key, n_docs=F.lit(n_docs), **vocab_params), "vocab")
     values = features.normalise(features.tfidf(counts, vocab), norm, key)
-    sums = stage(class_sums(values, [F.array_contains(tags, label) for label in labels]), "class-sums")
+    sums = stage(class_sums(values, [F.array_contains(tags, label) for label in labels], [tags]), "class-sums")
     size, total, totals = _column_totals(sums, len(labels))
     weights, intercepts = [], []
     for i, n in enumerate(positives):
@@ -225,7 +229,7 @@ def prequential(
     batches = [b for b, _ in sizes]
     pairs = [(b, c) for b in batches for c in labels]
     members = [(F.col(batch) <= b) & (F.col(label) == c) for b, c in pairs]
-    sums = stage(class_sums(values, members), "class-sums")
+    sums = stage(class_sums(values, members, [batch, label]), "class-sums")
     docs_so_far = [sum(per_pair.get((x, c), 0) for x in batches if x <= b) for b, c in pairs]
     model = fit_from_sums(sums, vocab, [f"{b}/{c}" for b, c in pairs], docs_so_far, alpha, None)
     for i, (b, _) in enumerate(pairs):

@@ -27,9 +27,14 @@ def explode_tokens(
     tokenizer: str | Callable[[Column], Column] = "space",
     ngram_range: tuple[int, int] = (1, 1),
 ) -> DataFrame:
-    """(key, keep..., term): one row per token; a text without tokens gives one row with a null term."""
+    """(key, keep..., term): one row per token; a text without tokens gives one row with a null term.
+
+    The text is moved once by key, before it grows into tokens. The number of partitions is given, since merging them by
+    the size of the text would leave too few tasks for the tokens.
+    """
     tokens = ngrams(tokenise(F.col(text), tokenizer), *ngram_range)
-    by_key = df.select(key, *keep, text).repartition(key)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_key = df.select(key, *keep, text).repartition(partitions, key)
     return by_key.select(key, *keep, F.explode_outer(tokens).alias("term"))
 
 

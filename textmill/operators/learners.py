@@ -15,7 +15,7 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmill.functions.tags import powerset_label
+from textmill.functions.tags import build_tag, powerset_label
 from textmill.functions.text import ngrams, tokenise
 from textmill.operators.aggregates import balanced_weights, with_weights
 from textmill.operators.features import MAX_FEATURES
@@ -179,11 +179,10 @@ def fit_community_ensemble(
     df: DataFrame, groups: dict[str, list[str]], base: Callable[[DataFrame, str], LabelModel], tags: str = "tags"
 ) -> dict[str, LabelModel]:
     """One powerset model per label community; the other tags are hidden from it."""
-    models = {}
-    for name, members in groups.items():
-        part = df.withColumn(tags, F.filter(F.col(tags), lambda t, m=members: t.isin(m)))
-        models[name] = fit_powerset(part, base, tags)
-    return models
+    return {
+        name: fit_powerset(df.withColumn(tags, build_tag(F.col(tags), members)), base, tags)
+        for name, members in groups.items()
+    }
 
 
 def predict_community_ensemble(df: DataFrame, models: dict[str, LabelModel], key: str = "id", tags: str = "tags") -> DataFrame:

@@ -15,7 +15,7 @@ from textmill.registered.tables import (
     COLOURS, PARTS, POSTS, posts, rounded, sql_bucket, sql_clean, sql_hash, sql_list, table, tagged_parts,
 )
 from textmill.sources import readers, sinks
-from textmill.staging import checkpoint_root, stage
+from textmill.staging import checkpoint_root, spread
 
 
 def scratch(spark, name: str) -> str:
@@ -75,10 +75,11 @@ SELECT id || ', ' || title || ', ' || text_body || ', ' || '' || ', ' || array_t
 """
 
 
+LABELS = ["en", "fr", "de", "es", *[f"src{i}" for i in range(20)]]
+
+
 def _clean(spark, sf):
-    langs = [r[0] for r in table(spark, sf, "documents").select("lang").distinct().collect()]
-    sources = [r[0] for r in table(spark, sf, "documents").select("source").distinct().collect()]
-    return clean_posts(posts(spark, sf), langs + sources, html=False)
+    return clean_posts(spread(posts(spark, sf)), LABELS, html=False)
 
 
 @register("to_text_lines", LINE_SQL)
@@ -405,5 +406,3 @@ def _(spark, sf):
     log = table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_orderkey", "o_orderpriority")
     return splits.dedupe(log, ["o_custkey", "o_orderstatus"], "o_orderkey")
 
-
-__all__ = ["score_log", "SCORES_SQL", "stage"]
