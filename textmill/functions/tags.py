@@ -8,14 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions import lexicon
+from textmill.functions.literals import literal_list
 
 NO_TAG_LABEL = "other-tags"
 
 
-def literal_array(values: Sequence[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
-
-
 def split_tags(tags: Column, sep: str = "|") -> Column:
     """'a|b' -> ['a', 'b']."""
     return F.split(tags, "\\" + sep)
@@ -23,7 +20,7 @@ def split_tags(tags: Column, sep: str = "|") -> Column:
 
 def intersect_tags(tags: Column, allowed: Sequence[str] = lexicon.ALLOWED_TAGS) -> Column:
     """Unique allowed tags in post order; null tags become an empty array."""
-    return F.array_intersect(F.coalesce(tags, F.array().cast("array<string>")), literal_array(allowed))
+    return F.array_intersect(F.coalesce(tags, F.expr("cast(array() as array<string>)")), literal_list(allowed))
 
 
 def build_tag(tags: Column, allowed: Sequence[str]) -> Column:

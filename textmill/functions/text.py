@@ -7,12 +7,12 @@ checked against an independent SQL engine.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions import lexicon
+from textmill.functions.literals import replace_all, sql_literal
 from textmill.functions.numeric import bind_once
 
 # Token and text patterns.
@@ -48,7 +48,9 @@ def strip_invisible(html: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Named entities to characters, after tags are gone, so that ``&lt;p>`` stays text."""
-    return reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), lexicon.HTML_ENTITIES.items(), text)
+    return bind_once(
+        text, lambda t: F.when(F.contains(t, F.lit("&")), replace_all(t, lexicon.HTML_ENTITIES.items())).otherwise(t)
+    )
 
 
 def block_texts(html: Column, tag: str) -> Column:
@@ -87,7 +89,7 @@ def fold_accents(text: Column) -> Column:
     source, target, multi = lexicon.accent_tables()
     folded = F.translate(text, source, target)
     # the multi-letter replacements only run for the few texts that still hold such a letter
-    grown = reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), sorted(multi.items()), folded)
+    grown = replace_all(folded, sorted(multi.items()))
     return (
         F.when(text.isNull(), F.lit(""))
         .when(F.octet_length(text) == F.char_length(text), text)
@@ -121,6 +123,11 @@ def tokenise(text: Column, how: str | Callable[[Column], Column] = "space") -> C
     raise ValueError(f"unknown tokenizer {how!r}")
 
 
+def _one_of(word: Column, words) -> Column:
+    """Set membership; the optimizer turns the literal list into a hash set."""
+    return word.isin(list(words))
+
+
 def keep_token(
     token: Column,
     mode: str = "language",
@@ -134,12 +141,12 @@ def keep_token(
     """
     low = F.lower(token)
     if mode == "symbols":
-        return ~low.isin(list(stop_words)) & ~token.rlike(r"^[\p{Punct}0-9]$")
+        return ~_one_of(low, stop_words) & ~token.rlike(r"^[\p{Punct}0-9]$")
     if mode != "language":
         raise ValueError(f"unknown token filter {mode!r}")
     plain = token.rlike(r"^\p{L}+$")
     special = token.rlike(EMAIL) | low.rlike(URL) | token.rlike(NUMBER) | token.rlike(PUNCT_ONLY)
-    return ~low.isin(list(stop_words) + list(number_words)) & (plain | ~special)
+    return ~_one_of(low, [*stop_words, *number_words]) & (plain | ~special)
 
 
 def token_filters(tokens: Column, mode: str = "language", **lists) -> Column:
@@ -156,8 +163,8 @@ def _lemma_of_lower(low: Column, lemmas: dict[str, str] = lexicon.LEMMAS) -> Col
     size = F.length(low)
     rules = F.when(~low.endswith("s"), low)
     if lemmas:
-        table = F.create_map(*[F.lit(x) for pair in sorted(lemmas.items()) for x in pair])
-        rules = F.when(low.isin(list(lemmas)), F.element_at(table, low)).when(~low.endswith("s"), low)
+        table = F.expr("map(" + ", ".join(sql_literal(x) for pair in sorted(lemmas.items()) for x in pair) + ")")
+        rules = F.when(_one_of(low, lemmas), F.element_at(table, low)).when(~low.endswith("s"), low)
     return (
         rules.when(low.endswith("ies") & (size > 4), F.concat(low.substr(F.lit(1), size - 3), F.lit("y")))
         .when(low.rlike("(?:ss|x|ch|sh|zz)es$") & (size > 4), low.substr(F.lit(1), size - 2))
@@ -182,7 +189,7 @@ def lemma_words(text: Column) -> Column:
 
     def words(low: Column) -> Column:
         bare = F.when(low.rlike(ADDRESS_HINT), F.regexp_replace(low, ADDRESS, " ")).otherwise(low)
-        kept = F.filter(F.split(bare, NON_WORD), lambda w: ~w.isin(dropped) & ~w.rlike(NO_LETTER))
+        kept = F.filter(F.split(bare, NON_WORD), lambda w: ~_one_of(w, dropped) & ~w.rlike(NO_LETTER))
         return F.transform(kept, lambda w: _lemma_of_lower(w))
 
     return bind_once(F.lower(text), words)

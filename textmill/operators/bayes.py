@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.functions.literals import literal_list, sql_array, sql_literal
 from textmill.functions.numeric import bind_once
 from textmill.operators import features
 from textmill.staging import stage
@@ -49,7 +50,7 @@ class LinearModel:
 
     def class_weights(self) -> DataFrame:
         """Long form (term, label, weight)."""
-        labels = F.array(*[F.lit(str(c)) for c in self.classes])
+        labels = literal_list(str(c) for c in self.classes)
         pairs = F.explode(F.arrays_zip(labels.alias("label"), F.col("weights").alias("weight"))).alias("pair")
         return self.weights.select("term", pairs).select("term", "pair.label", "pair.weight")
 
@@ -59,24 +60,28 @@ def distinct_labels(df: DataFrame, label: str) -> list[tuple[str, int]]:
     return [(r[0], r[1]) for r in df.groupBy(label).agg(F.count("*").alias("n")).orderBy(label).collect()]
 
 
-def class_sums(values: DataFrame, members: Sequence[Column], by: Sequence[str]) -> DataFrame:
-    """(term, total, s0, s1, ...): summed value per term over all rows and over the rows of each class.
+def class_sums(values: DataFrame, members: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """(term, total, sums array): summed value per term over all rows and over the rows of each class.
 
-    ``by`` names the columns the class conditions look at. Rows are summed per (term, by...) first, so the conditions run
-    on that small table and a frequent term of a frequent class is combined before the shuffle.
+    ``members`` are SQL conditions, one per class, over the columns named in ``by``. Rows are summed per (term, by...)
+    first, so the conditions run on that small table and a frequent term of a frequent class is combined before the
+    shuffle.
     """
     grouped = values.filter(F.col("value").isNotNull()).groupBy("term", *by).agg(F.sum("value").alias("value"))
-    sums = [F.coalesce(F.sum(F.when(m, F.col("value"))), F.lit(0.0)).alias(f"s{i}") for i, m in enumerate(members)]
-    return grouped.groupBy("term").agg(F.sum("value").alias("total"), *sums)
+    sums = ", ".join(f"coalesce(sum(CASE WHEN {m} THEN value END), 0D)" for m in members)
+    return grouped.groupBy("term").agg(F.sum("value").alias("total"), F.expr(f"array({sums})").alias("sums"))
 
 
 def _column_totals(sums: DataFrame, n: int) -> tuple[int, float, list[float]]:
-    row = sums.agg(F.count("*"), F.sum("total"), *[F.sum(f"s{i}") for i in range(n)]).first()
-    return row[0], row[1] or 0.0, [x or 0.0 for x in row[2:]]
+    """Vocabulary size, sum of all values, and sum per class."""
+    per_class = F.expr("array(" + ", ".join(f"sum(sums[{i}])" for i in range(n)) + ")")
+    size, total, totals = sums.agg(F.count("*"), F.sum("total"), per_class).first()
+    return size, total or 0.0, [x or 0.0 for x in totals]
 
 
-def _array(columns: list[Column]) -> Column:
-    return F.array(*columns).alias("weights")
+def _weight_table(sums: DataFrame, vocab: DataFrame, weights: str, name: str) -> DataFrame:
+    table = sums.join(vocab.select("term", "idf"), "term")
+    return stage(table.select("term", "idf", F.expr(weights).alias("weights")), name)
 
 
 def fit_from_sums(
@@ -86,10 +91,11 @@ def fit_from_sums(
     alpha = max(alpha, ALPHA_FLOOR)
     size, _, totals = _column_totals(sums, len(classes))
     n_docs = sum(class_docs)
-    weights = [F.log((F.col(f"s{i}") + alpha) / F.lit(totals[i] + alpha * size)) for i in range(len(classes))]
-    table = sums.join(vocab.select("term", "idf"), "term").select("term", "idf", _array(weights))
+    rest = sql_array([t + alpha * size for t in totals])
+    weights = f"zip_with(sums, {rest}, (s, d) -> ln((s + {sql_literal(float(alpha))}) / d))"
     priors = [math.log(n / n_docs) if n else float("-inf") for n in class_docs]
-    return LinearModel(stage(table, "bayes"), classes, priors, "multinomial", norm, {"alpha": alpha})
+    table = _weight_table(sums, vocab, weights, "bayes")
+    return LinearModel(table, classes, priors, "multinomial", norm, {"alpha": alpha})
 
 
 def fit_nb(
@@ -112,7 +118,7 @@ def fit_nb(
     if not use_idf:
         vocab = vocab.withColumn("idf", F.lit(1.0))
     values = features.normalise(features.tfidf(counts, vocab), norm, key)
-    members = [F.col(label) == name for name, _ in labels]
+    members = [f"`{label}` = {sql_literal(name)}" for name, _ in labels]
     sums = stage(class_sums(values, members, [label]), "class-sums")
     return fit_from_sums(sums, vocab, [name for name, _ in labels], [n for _, n in labels], alpha, norm)
 
@@ -129,42 +135,42 @@ def fit_ovr_nb(
 ) -> LinearModel:
     """One binary model per label, all fitted in one pass: positive sums by tag, negative sums as total minus positive."""
     alpha = max(alpha, ALPHA_FLOOR)
-    row = docs.agg(
-        F.count("*"), *[F.count_if(F.array_contains(tags, label)) for label in labels]
+    members = [f"array_contains(`{tags}`, {sql_literal(label)})" for label in labels]
+    n_docs, positives = docs.agg(
+        F.count("*"), F.expr("array(" + ", ".join(f"count_if({m})" for m in members) + ")")
     ).first()
-    n_docs, positives = row[0], list(row[1:])
     vocab_params.setdefault("max_features", features.MAX_FEATURES)
     vocab = stage(features.fit_vocab(counts, key=key, n_docs=F.lit(n_docs), **vocab_params), "vocab")
     values = features.normalise(features.tfidf(counts, vocab), norm, key)
-    sums = stage(class_sums(values, [F.array_contains(tags, label) for label in labels], [tags]), "class-sums")
+    sums = stage(class_sums(values, members, [tags]), "class-sums")
     size, total, totals = _column_totals(sums, len(labels))
-    weights, intercepts = [], []
-    for i, n in enumerate(positives):
-        inside = (F.col(f"s{i}") + alpha) / F.lit(totals[i] + alpha * size)
-        outside = (F.col("total") - F.col(f"s{i}") + alpha) / F.lit(total - totals[i] + alpha * size)
-        weights.append(F.log(inside) - F.log(outside))
-        if n == 0 or n == n_docs:
-            intercepts.append(float("-inf") if n == 0 else float("inf"))
-        else:
-            intercepts.append(math.log(n / n_docs) - math.log((n_docs - n) / n_docs))
-    table = sums.join(vocab.select("term", "idf"), "term").select("term", "idf", _array(weights))
-    return LinearModel(stage(table, "bayes-ovr"), list(labels), intercepts, "one-vs-rest", norm, {"alpha": alpha})
+    a = sql_literal(float(alpha))
+    inside = f"zip_with(sums, {sql_array([t + alpha * size for t in totals])}, (s, d) -> ln((s + {a}) / d))"
+    outside = f"zip_with(sums, {sql_array([total - t + alpha * size for t in totals])}, (s, d) -> ln((total - s + {a}) / d))"
+    table = _weight_table(sums, vocab, f"zip_with({inside}, {outside}, (p, q) -> p - q)", "bayes-ovr")
+    return LinearModel(table, list(labels), [_log_odds(n, n_docs) for n in positives], "one-vs-rest", norm, {"alpha": alpha})
+
+
+def _log_odds(n: int, n_docs: int) -> float:
+    """Prior log odds; a label carried by no document never wins, one carried by all always does."""
+    if n in (0, n_docs):
+        return float("-inf") if n == 0 else float("inf")
+    return math.log(n / n_docs) - math.log((n_docs - n) / n_docs)
 
 
 def linear_scores(counts: DataFrame, model: LinearModel, key: str = "id", keep: Sequence[str] = ()) -> DataFrame:
     """(key, keep..., scores array<double>): one score per class for every document, also for those without known terms."""
     known = counts.join(model.weights, "term", "left").withColumn("value", F.col("tf") * F.col("idf"))
     values = features.normalise(known, model.norm, key)
-    parts = [F.sum(F.col("value") * F.col("weights")[i]).alias(f"_c{i}") for i in range(len(model.classes))]
-    summed = values.groupBy(key, *keep).agg(*parts)
-    scores = [F.coalesce(f"_c{i}", F.lit(0.0)) + F.lit(model.intercepts[i]) for i in range(len(model.classes))]
-    return summed.select(key, *keep, F.array(*scores).alias("scores"))
+    parts = ", ".join(f"sum(value * weights[{i}])" for i in range(len(model.classes)))
+    summed = values.groupBy(key, *keep).agg(F.expr(f"array({parts})").alias("sums"))
+    scores = f"zip_with(sums, {sql_array(model.intercepts)}, (s, b) -> coalesce(s, 0D) + b)"
+    return summed.select(key, *keep, F.expr(scores).alias("scores"))
 
 
 def argmax_label(scores: Column, classes: Sequence) -> Column:
     """Class of the largest score; among equals the first class."""
-    names = F.array(*[F.lit(c) for c in classes])
-    return F.element_at(names, F.array_position(scores, F.array_max(scores)).cast("int"))
+    return F.element_at(literal_list(classes), F.array_position(scores, F.array_max(scores)).cast("int"))
 
 
 def softmax(scores: Column) -> Column:
@@ -188,7 +194,7 @@ def predict_proba(counts: DataFrame, model: LinearModel, key: str = "id", keep:
 
 def long_probabilities(probs: DataFrame, classes: Sequence[str], name: str, key: str = "id", keep: Sequence[str] = ()) -> DataFrame:
     """(key, keep..., model, label, p) from the array form."""
-    labels = F.array(*[F.lit(c) for c in classes])
+    labels = literal_list(classes)
     pair = F.explode(F.arrays_zip(labels.alias("label"), F.col("probability").alias("p"))).alias("pair")
     return probs.select(key, *keep, F.lit(name).alias("model"), pair).select(key, *keep, "model", "pair.label", "pair.p")
 
@@ -196,7 +202,7 @@ def long_probabilities(probs: DataFrame, classes: Sequence[str], name: str, key:
 def predict_ovr(counts: DataFrame, model: LinearModel, key: str = "id", keep: Sequence[str] = ()) -> DataFrame:
     """(key, keep..., predicted array): the labels whose positive class wins."""
     scored = linear_scores(counts, model, key, keep)
-    names = F.array(*[F.lit(c) for c in model.classes])
+    names = literal_list(model.classes)
     zipped = F.arrays_zip(names.alias("label"), F.col("scores").alias("score"))
     hits = F.transform(F.filter(zipped, lambda z: z["score"] > 0), lambda z: z["label"])
     return scored.select(key, *keep, hits.alias("predicted"))
@@ -227,29 +233,26 @@ def prequential(
     vocab = vocab.withColumn("idf", F.lit(1.0))
     values = features.tfidf(train_counts, vocab)
     batches = [b for b, _ in sizes]
+    seen = {b: sum(n for x, n in sizes if x <= b) for b in batches}
     pairs = [(b, c) for b in batches for c in labels]
-    members = [(F.col(batch) <= b) & (F.col(label) == c) for b, c in pairs]
+    members = [f"`{batch}` <= {b} AND `{label}` = {sql_literal(c)}" for b, c in pairs]
     sums = stage(class_sums(values, members, [batch, label]), "class-sums")
     docs_so_far = [sum(per_pair.get((x, c), 0) for x in batches if x <= b) for b, c in pairs]
     model = fit_from_sums(sums, vocab, [f"{b}/{c}" for b, c in pairs], docs_so_far, alpha, None)
-    for i, (b, _) in enumerate(pairs):
-        seen = sum(n for x, n in sizes if x <= b)
-        model.intercepts[i] = math.log(docs_so_far[i] / seen) if docs_so_far[i] else float("-inf")
+    model.intercepts = [
+        math.log(n / seen[b]) if n else float("-inf") for n, (b, _) in zip(docs_so_far, pairs, strict=True)
+    ]
     scored = linear_scores(test_counts, model, key, [label])
     width = len(labels)
-    right = [
-        F.count_if(argmax_label(F.slice("scores", j * width + 1, width), labels) == F.col(label)).alias(f"_r{j}")
+    # the winner of a batch is the position of its largest score inside its own slice
+    right = ", ".join(
+        f"count_if(array_position(slice(scores, {j * width + 1}, {width}), array_max(slice(scores, {j * width + 1}, {width})))"
+        f" = array_position({sql_array(labels)}, `{label}`))"
         for j in range(len(batches))
-    ]
-    totals = scored.agg(*right)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(b).alias("batch"),
-                F.lit(sum(n for x, n in sizes if x <= b)).cast("bigint").alias("n_train"),
-                (F.col(f"_r{j}") / F.lit(n_test)).alias("accuracy"),
-            )
-            for j, b in enumerate(batches)
-        ]
     )
-    return totals.select(F.explode(rows).alias("row")).select("row.batch", "row.n_train", "row.accuracy")
+    totals = scored.agg(F.expr(f"array({right})").alias("right"))
+    rows = totals.selectExpr(
+        "right", f"{sql_array(int(b) for b in batches)} AS batch", f"{sql_array(seen[b] for b in batches)} AS n_train"
+    )
+    zipped = rows.select(F.explode(F.arrays_zip("batch", "n_train", "right")).alias("r"))
+    return zipped.select("r.batch", "r.n_train", (F.col("r.right") / F.lit(n_test)).alias("accuracy"))

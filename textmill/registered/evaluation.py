@@ -96,9 +96,9 @@ def _(spark, sf):
 
 @register(
     "cohen_kappa",
-    f"""WITH {_PRED}, n AS (SELECT count(*)::DOUBLE AS n FROM p), a AS (SELECT truth AS l, count(*) AS a FROM p GROUP BY 1),
+    f"""WITH {_PRED}, kn AS (SELECT count(*)::DOUBLE AS n FROM p), a AS (SELECT truth AS l, count(*) AS a FROM p GROUP BY 1),
 b AS (SELECT predicted AS l, count(*) AS b FROM p GROUP BY 1),
-x AS (SELECT (SELECT avg(CASE WHEN truth = predicted THEN 1.0 ELSE 0.0 END) FROM p) AS po, (SELECT sum(a * b) FROM a JOIN b USING (l)) / (n * n) AS pe FROM n)
+x AS (SELECT (SELECT avg(CASE WHEN truth = predicted THEN 1.0 ELSE 0.0 END) FROM p) AS po, (SELECT sum(a * b) FROM a JOIN b USING (l)) / (n * n) AS pe FROM kn)
 SELECT round((po - pe) / (1 - pe), 6) AS kappa FROM x""",
 )
 def _(spark, sf):

@@ -21,7 +21,7 @@ def frame(spark, sf, label: str = "source"):
     return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col(label).alias("label"), "text")
 
 
-def nb_sql(label: str = "source", norm: str = "l2", idf: bool = True, alpha: float = 1.0, top: int = 2000, p: str = "") -> str:
+def nb_sql(label: str = "source", norm: str = "l2", idf: bool = True, alpha: float = 1.0, top: int = 2000, p: str = "", min_df: int = 1) -> str:
     """CTEs up to ``{p}pred`` (id, label, split, predicted) and ``{p}proba`` (id, label, split, cls, pr)."""
     weight = {"l2": "v / sqrt(sum(v * v) OVER (PARTITION BY id))", "l1": "v / sum(v) OVER (PARTITION BY id)", "none": "v"}[norm]
     return f"""
@@ -30,7 +30,7 @@ def nb_sql(label: str = "source", norm: str = "l2", idf: bool = True, alpha: flo
 {p}tf AS (SELECT id, label, split, term, count(*) AS tf FROM {p}tok GROUP BY ALL),
 {p}n AS (SELECT count(*)::DOUBLE AS n FROM {p}docs WHERE split = 'train'),
 {p}vocab AS (SELECT term, {'ln((1 + (SELECT n FROM ' + p + 'n)) / (1 + count(*))) + 1' if idf else '1.0::DOUBLE'} AS idf, count(*) AS df, sum(tf) AS cf
-  FROM {p}tf WHERE split = 'train' GROUP BY term ORDER BY sum(tf) DESC, term LIMIT {top}),
+  FROM {p}tf WHERE split = 'train' GROUP BY term HAVING count(*) >= {min_df} ORDER BY sum(tf) DESC, term LIMIT {top}),
 {p}raw AS (SELECT id, label, split, term, tf * idf AS v FROM {p}tf JOIN {p}vocab USING (term)),
 {p}val AS (SELECT id, label, split, term, {weight} AS w FROM {p}raw),
 {p}cls AS (SELECT label AS cls, ln(count(*) / (SELECT n FROM {p}n)) AS prior FROM {p}docs WHERE split = 'train' GROUP BY 1),
@@ -411,7 +411,7 @@ def _(spark, sf):
 
 @register(
     "ml_tfidf",
-    f"""WITH {nb_sql('lang', top=1000)} SELECT id, count(*) AS n, round(sum(w), 6) AS total FROM val GROUP BY id""",
+    f"""WITH {nb_sql('lang', top=100000, min_df=20)} SELECT id, count(*) AS n, round(sum(w), 6) AS total FROM val GROUP BY id""",
 )
 def _(spark, sf):
     from pyspark.ml.functions import vector_to_array
@@ -419,6 +419,6 @@ def _(spark, sf):
     values = F.filter(vector_to_array("features"), lambda v: v != 0)
     total = F.aggregate("v", F.lit(0.0), lambda acc, v: acc + v)
     docs = train.split_frame(frame(spark, sf, "lang"), PARAMS)
-    steps = learners.fit_tfidf(docs.filter("split = 'train'"), "text", folded_words, max_features=1000)
+    steps = learners.fit_tfidf(docs.filter("split = 'train'"), "text", folded_words, min_df=20)
     sized = steps.transform(docs).select("id", values.alias("v"))
     return rounded(sized.select("id", F.array_size("v").cast("bigint").alias("n"), total.alias("total")).filter("n > 0"))
