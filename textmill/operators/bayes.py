@@ -160,11 +160,12 @@ def _log_odds(n: int, n_docs: int) -> float:
 
 def linear_scores(counts: DataFrame, model: LinearModel, key: str = "id", keep: Sequence[str] = ()) -> DataFrame:
     """(key, keep..., scores array<double>): one score per class for every document, also for those without known terms."""
-    known = counts.join(model.weights, "term", "left").withColumn("value", F.col("tf") * F.col("idf"))
-    values = features.normalise(known, model.norm, key)
+    values = counts.join(model.weights, "term", "left").withColumn("value", F.col("tf") * F.col("idf"))
     parts = ", ".join(f"sum(value * weights[{i}])" for i in range(len(model.classes)))
-    summed = values.groupBy(key, *keep).agg(F.expr(f"array({parts})").alias("sums"))
-    scores = f"zip_with(sums, {sql_array(model.intercepts)}, (s, b) -> coalesce(s, 0D) + b)"
+    size = {"l1": "sum(abs(value))", "l2": "sqrt(sum(value * value))"}.get(model.norm, "1D")
+    # the row norm is one more sum of the same aggregate, so the rows need not be scaled before they are summed
+    summed = values.groupBy(key, *keep).agg(F.expr(f"array({parts})").alias("sums"), F.expr(size).alias("size"))
+    scores = f"zip_with(sums, {sql_array(model.intercepts)}, (s, b) -> coalesce(s / nullif(size, 0D), 0D) + b)"
     return summed.select(key, *keep, F.expr(scores).alias("scores"))
 
 

@@ -151,6 +151,7 @@ def value_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def medians(freq: DataFrame) -> DataFrame:
     """(column, median): exact medians from a value frequency table, without gathering the values of a column."""
     numbers = freq.filter(F.col("number").isNotNull()).groupBy("column", "number").agg(F.sum("n").alias("n"))
+    numbers = stage(numbers, "numbers")
     totals = running_totals(numbers, "number", ["n"], groups=["column"], descending=False)
     sizes = numbers.groupBy("column").agg(F.sum("n").alias("size"))
     # the middle positions are (size + 1) / 2 rounded down and up

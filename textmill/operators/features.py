@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from textmill.functions.text import ngrams, tokenise
-from textmill.staging import scalar_of
+from textmill.staging import scalar_of, stage
 
 MAX_FEATURES = 10_000
 
@@ -110,8 +110,8 @@ def tfidf_vectorise(
     norm: str | None = "l2",
 ) -> DataFrame:
     """Text to normalised TF-IDF rows (key, term, tf, value) in one call."""
-    counts = term_counts(explode_tokens(df, text, key, (), tokenizer, ngram_range), key)
-    vocab = fit_vocab(counts, min_df, max_df, max_features, key)
+    counts = stage(term_counts(explode_tokens(df, text, key, (), tokenizer, ngram_range), key), "counts")
+    vocab = fit_vocab(counts, min_df, max_df, max_features, key, scalar_of(df, F.count("*")))
     return normalise(tfidf(counts, vocab), norm, key).select(key, "term", "tf", "value")
 
 

@@ -26,12 +26,13 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def rank_within(
-    df: DataFrame, key: str, groups: Sequence[str] = (), seed: str = "", out: str = "rank", digits: int = 4
+    df: DataFrame, key: str, groups: Sequence[str] = (), seed: str = "", out: str = "rank", digits: int = 3
 ) -> DataFrame:
     """1-based position of each row in its group, in the order of (md5 of the key, key).
 
     Equals ``row_number() over (partition by groups order by substr(md5(key), 1, 8), key)``. Buckets are the first
-    ``digits`` hex digits of the hash, so even a group with a third of all rows is spread over 16**digits buckets.
+    ``digits`` hex digits of the hash, so even a group with a third of all rows is spread over 16**digits buckets. The
+    offsets hold 16**digits rows per group; three digits keep them small enough to be broadcast for some dozens of groups.
     """
     groups = list(groups)
     hashed = df.withColumn("_h", fingerprint(F.col(key), seed)).withColumn("_b", F.substring("_h", 1, digits))
