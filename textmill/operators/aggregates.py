@@ -52,7 +52,8 @@ def length_hist(df: DataFrame, col: str) -> DataFrame:
 def equal_width_hist(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """(bin, low, high, n) with ``bins`` equal intervals between min and max; the last one is closed."""
     values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    low, high = scalar_of(values, F.min("v")), scalar_of(values, F.max("v"))
+    bounds = scalar_of(values, F.struct(F.min("v").alias("low"), F.max("v").alias("high")))
+    low, high = bounds.getField("low"), bounds.getField("high")
     raw = F.floor((F.col("v") - low) * bins / F.when(high > low, high - low).otherwise(F.lit(1.0)))
     counted = values.groupBy(F.least(raw, F.lit(bins - 1)).cast("bigint").alias("bin")).agg(F.count("*").alias("n"))
     width = (high - low) / bins
@@ -62,7 +63,7 @@ def equal_width_hist(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 def relative_frequency(df: DataFrame, col: str) -> DataFrame:
     """(value, n, share): every row weighs 1/N."""
     counted = df.groupBy(F.col(col).alias("value")).agg(F.count("*").alias("n"))
-    return counted.withColumn("share", F.col("n") / scalar_of(df, F.count("*")))
+    return counted.withColumn("share", F.col("n") / scalar_of(counted, F.sum("n")))
 
 
 def tagset_counts(df: DataFrame, tags: str = "tags", sep: str = " ") -> DataFrame:
@@ -85,8 +86,8 @@ def cooccurrence(df: DataFrame, tags: str = "tags") -> DataFrame:
 def balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """(label, n, weight) with weight = N / (K * n_label)."""
     counted = df.groupBy(label).agg(F.count("*").alias("n"))
-    total, kinds = scalar_of(df, F.count("*")), scalar_of(counted, F.count("*"))
-    return counted.withColumn("weight", total / (kinds * F.col("n")))
+    mean = scalar_of(counted, F.sum("n") / F.count("*"))
+    return counted.withColumn("weight", mean / F.col("n"))
 
 
 def with_weights(df: DataFrame, weights: dict[str, float] | DataFrame, label: str = "label", out: str = "weight") -> DataFrame:

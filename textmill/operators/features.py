@@ -170,8 +170,9 @@ def embed_documents(tokens: DataFrame, vectors: DataFrame, key: str = "id", size
         size = len(vectors.select("vector").first()[0])
     counted = tokens.groupBy(key, "term").agg(F.count("*").alias("tf"))
     joined = counted.join(vectors.select("term", "vector"), "term", "left")
-    known = F.when(F.col("vector").isNotNull(), F.col("tf")).otherwise(0)
-    sums = [F.sum(F.col("vector")[i].cast("double") * F.col("tf")).alias(f"_s{i}") for i in range(size)]
-    summed = joined.groupBy(key).agg(F.sum(known).alias("n_known"), *sums)
-    means = F.array(*[F.coalesce(F.try_divide(f"_s{i}", "n_known"), F.lit(0.0)) for i in range(size)])
+    sums = ", ".join(f"sum(cast(vector[{i}] AS double) * tf)" for i in range(size))
+    summed = joined.groupBy(key).agg(
+        F.expr("sum(CASE WHEN vector IS NOT NULL THEN tf ELSE 0L END)").alias("n_known"), F.expr(f"array({sums})").alias("sums")
+    )
+    means = F.transform("sums", lambda total: F.coalesce(F.try_divide(total, F.col("n_known")), F.lit(0.0)))
     return summed.select(key, "n_known", means.alias("embedding"))

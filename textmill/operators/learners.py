@@ -19,6 +19,7 @@ from textmill.functions.tags import build_tag, powerset_label
 from textmill.functions.text import ngrams, tokenise
 from textmill.operators.aggregates import balanced_weights, with_weights
 from textmill.operators.features import MAX_FEATURES
+from textmill.staging import stage
 
 NORM_P = {"l1": 1.0, "l2": 2.0}
 
@@ -62,8 +63,8 @@ def fit_tfidf(
     """
     if min_df == 1.0:
         min_df = 1
-    tokens = df.select(ngrams(tokenise(F.col(text), tokenizer), *ngram_range).alias("_tokens"))
-    n_docs = df.count()
+    tokens = stage(df.select(ngrams(tokenise(F.col(text), tokenizer), *ngram_range).alias("_tokens")), "tokens")
+    n_docs = tokens.count()
     counter = CountVectorizer(
         inputCol="_tokens", outputCol="_counts", vocabSize=max_features,
         minDF=document_frequency_bound(min_df, n_docs), maxDF=max(document_frequency_bound(max_df, n_docs), 1.0),

@@ -187,6 +187,7 @@ def metric_panel(pred: DataFrame, truth: str = "truth", predicted: str = "predic
     ``predicted`` is the 0/1 class, ``score`` the probability of class 1. R2 and MSE use the class, AUC, average
     precision and log loss the probability.
     """
+    pred = stage(pred.select(truth, predicted, score), "judged")
     t, y = F.col(truth), F.col(predicted)
     base = pred.agg(
         *binary_counts(t, y),

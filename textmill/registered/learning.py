@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from textmill.functions.tags import powerset_label
@@ -10,7 +12,8 @@ from textmill.operators.ranking import rank_within
 from textmill.plans import train
 from textmill.registered import register
 from textmill.registered.tables import folded_words, rounded, sql_bucket, sql_hash, sql_list, sql_words, table
-from textmill.staging import stage
+from textmill.sources.models import save_model
+from textmill.staging import checkpoint_root, stage
 
 EVAL = 20
 PARAMS = train.TrainParams(eval_size=EVAL, alpha=1.0, norm="l2", max_features=2000, tokenizer=folded_words)
@@ -75,6 +78,16 @@ def _(spark, sf):
     return predictions.select("id", "label", "split", "predicted")
 
 
+@register("save_model", f"WITH {nb_sql('lang')} SELECT id, predicted FROM pred")
+def _(spark, sf):
+    docs = train.split_frame(frame(spark, sf, "lang"), PARAMS)
+    counts = train.staged_counts(docs, PARAMS)
+    training = F.col("split") == "train"
+    fitted = bayes.fit_nb(counts.filter(training), docs.filter(training), max_features=2000)
+    path = save_model(fitted, f"{checkpoint_root(spark)}/textmill/models-{uuid.uuid4().hex}", "nb")
+    return bayes.predict_nb(counts, bayes.LinearModel.load(spark, path)).select("id", "predicted")
+
+
 @register(
     "naive_bayes_counts",
     f"WITH {nb_sql('lang', 'none', False, 0.4)} SELECT id, label, split, predicted FROM pred",
