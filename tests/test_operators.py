@@ -121,6 +121,19 @@ def test_probabilities_and_empty_documents(posts):
     assert next(r.predicted for r in rows if r.id == 90) == "de"
 
 
+def test_long_class_axis_is_cut_without_change(posts, monkeypatch):
+    named = posts.withColumn("label", F.concat_ws("/", "label", F.element_at("tags", 2)))
+    counts = counts_of(named)
+    whole = bayes.fit_nb(counts, named)
+    want = {(r.id, r.predicted) for r in bayes.predict_label(counts, whole).collect()}
+    monkeypatch.setattr(bayes, "WIDE", 4)
+    cut = bayes.fit_nb(counts, named)
+    assert len(cut.classes) == 6 and cut.intercepts == whole.intercepts
+    assert {(r.id, r.predicted) for r in bayes.predict_label(counts, cut).collect()} == want
+    weights = {(r.term, r.label): r.weight for r in whole.class_weights().collect()}
+    assert all(weights[(r.term, r.label)] == pytest.approx(r.weight) for r in cut.class_weights().collect())
+
+
 def test_model_save_and_load(posts, tmp_path, spark):
     from textmill.sources.models import export_path, save_model
 

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ from textmill.operators import features
 from textmill.staging import stage
 
 ALPHA_FLOOR = 1e-10
+# class columns per aggregate
+WIDE = 200
 
 
 @dataclass
@@ -68,13 +71,33 @@ def class_sums(values: DataFrame, members: Sequence[str], by: Sequence[str]) ->
     shuffle.
     """
     grouped = values.filter(F.col("value").isNotNull()).groupBy("term", *by).agg(F.sum("value").alias("value"))
-    sums = ", ".join(f"coalesce(sum(CASE WHEN {m} THEN value END), 0D)" for m in members)
-    return grouped.groupBy("term").agg(F.sum("value").alias("total"), F.expr(f"array({sums})").alias("sums"))
+    if len(members) > WIDE:
+        grouped = stage(grouped, "class-terms")
+    total = F.sum("value").alias("total")
+    parts = [
+        grouped.groupBy("term").agg(total, F.expr(_array_of(f"coalesce(sum(CASE WHEN {m} THEN value END), 0D)" for m in part)).alias("sums"))
+        for part in _chunks(members)
+    ]
+    sums = parts[0]
+    for part in parts[1:]:
+        more = part.select("term", F.col("sums").alias("more"))
+        sums = sums.join(more, "term").select("term", "total", F.concat("sums", "more").alias("sums"))
+    return sums
+
+
+def _array_of(items: Iterable[str]) -> str:
+    return f"array({', '.join(items)})"
+
+
+def _chunks(items: Sequence, size: int | None = None) -> list[Sequence]:
+    """Cut a class axis so that one aggregate never has more than ``WIDE`` class columns."""
+    size = size or WIDE
+    return [items[i : i + size] for i in range(0, len(items), size)]
 
 
 def _column_totals(sums: DataFrame, n: int) -> tuple[int, float, list[float]]:
     """Vocabulary size, sum of all values, and sum per class."""
-    per_class = F.expr("array(" + ", ".join(f"sum(sums[{i}])" for i in range(n)) + ")")
+    per_class = F.expr(_array_of(f"sum(sums[{i}])" for i in range(n)))
     size, total, totals = sums.agg(F.count("*"), F.sum("total"), per_class).first()
     return size, total or 0.0, [x or 0.0 for x in totals]
 
@@ -137,7 +160,7 @@ def fit_ovr_nb(
     alpha = max(alpha, ALPHA_FLOOR)
     members = [f"array_contains(`{tags}`, {sql_literal(label)})" for label in labels]
     n_docs, positives = docs.agg(
-        F.count("*"), F.expr("array(" + ", ".join(f"count_if({m})" for m in members) + ")")
+        F.count("*"), F.expr(_array_of(f"count_if({m})" for m in members))
     ).first()
     vocab_params.setdefault("max_features", features.MAX_FEATURES)
     vocab = stage(features.fit_vocab(counts, key=key, n_docs=F.lit(n_docs), **vocab_params), "vocab")
@@ -187,6 +210,29 @@ def predict_nb(counts: DataFrame, model: LinearModel, key: str = "id", keep: Seq
     return scored.select(key, *keep, argmax_label(F.col("scores"), model.classes).alias("predicted"), "scores")
 
 
+def predict_label(counts: DataFrame, model: LinearModel, key: str = "id", keep: Sequence[str] = ()) -> DataFrame:
+    """(key, keep..., predicted) for any number of classes.
+
+    A long class axis, such as one class per tag set, is scored slice by slice; the winner of every slice competes for the
+    row, so no row ever carries all scores.
+    """
+    winners = []
+    for places in _chunks(range(len(model.classes))):
+        part = replace(
+            model,
+            weights=model.weights.withColumn("weights", F.slice("weights", places[0] + 1, len(places))),
+            classes=[model.classes[i] for i in places],
+            intercepts=[model.intercepts[i] for i in places],
+        )
+        best = predict_nb(counts, part, key, keep).withColumn("top", F.array_max("scores")).drop("scores")
+        winners.append(best)
+    if len(winners) == 1:
+        return winners[0].drop("top")
+    every = reduce(DataFrame.unionByName, winners)
+    first = F.min_by("predicted", F.struct(-F.col("top"), F.col("predicted")))
+    return every.groupBy(key, *keep).agg(first.alias("predicted"))
+
+
 def predict_proba(counts: DataFrame, model: LinearModel, key: str = "id", keep: Sequence[str] = ()) -> DataFrame:
     """(key, keep..., predicted, probability array in class order)."""
     scored = predict_nb(counts, model, key, keep)

@@ -19,7 +19,7 @@ from textmill.functions.tags import build_tag, powerset_label
 from textmill.functions.text import ngrams, tokenise
 from textmill.operators.aggregates import balanced_weights, with_weights
 from textmill.operators.features import MAX_FEATURES
-from textmill.staging import stage
+from textmill.staging import spread, stage
 
 NORM_P = {"l1": 1.0, "l2": 2.0}
 
@@ -63,7 +63,7 @@ def fit_tfidf(
     """
     if min_df == 1.0:
         min_df = 1
-    tokens = stage(df.select(ngrams(tokenise(F.col(text), tokenizer), *ngram_range).alias("_tokens")), "tokens")
+    tokens = stage(spread(df.select(text)).select(ngrams(tokenise(F.col(text), tokenizer), *ngram_range).alias("_tokens")), "tokens")
     n_docs = tokens.count()
     counter = CountVectorizer(
         inputCol="_tokens", outputCol="_counts", vocabSize=max_features,

@@ -13,7 +13,7 @@ from textmill.plans import train
 from textmill.registered import register
 from textmill.registered.tables import folded_words, rounded, sql_bucket, sql_hash, sql_list, sql_words, table
 from textmill.sources.models import save_model
-from textmill.staging import checkpoint_root, stage
+from textmill.staging import checkpoint_root, spread, stage
 
 EVAL = 20
 PARAMS = train.TrainParams(eval_size=EVAL, alpha=1.0, norm="l2", max_features=2000, tokenizer=folded_words)
@@ -219,7 +219,7 @@ def knn_sides(spark, sf):
     training = F.col("split") == "train"
     n_train = docs.filter(training).select(F.count("*")).scalar()
     vocab = stage(features.fit_vocab(counts.filter(training), n_docs=n_train, max_features=2000), "vocab")
-    values = features.normalise(features.tfidf(counts, vocab, keep_empty=True), "l2")
+    values = features.tfidf(counts, vocab, keep_empty=True)
     packed = stage(knn.pack_vectors(values, "id", ["tags", "split"]), "packed")
     return packed.filter(training).drop("split"), packed.filter(~training).drop("split")
 
@@ -350,7 +350,7 @@ def ml_vectors(spark, sf, label: str = "lang", max_features: int = 500):
     """(id, label, split, features) on the folded words of documents."""
     docs = train.split_frame(frame(spark, sf, label), PARAMS)
     steps = learners.fit_tfidf(docs.filter("split = 'train'"), "text", folded_words, min_df=2, max_features=max_features)
-    return stage(steps.transform(docs).select("id", "label", "split", "features"), "vectors")
+    return stage(steps.transform(spread(docs)).select("id", "label", "split", "features"), "vectors")
 
 
 @register("random_forest")
@@ -370,7 +370,7 @@ def _(spark, sf):
 def ml_tagged(spark, sf):
     docs = tagged_docs(spark, sf)
     steps = learners.fit_tfidf(docs.filter("split = 'train'"), "text", folded_words, min_df=2, max_features=300)
-    return stage(steps.transform(docs).select("id", "tags", "split", "features"), "vectors")
+    return stage(steps.transform(spread(docs)).select("id", "tags", "split", "features"), "vectors")
 
 
 def small_forest(df, label):

@@ -4,6 +4,8 @@ A frame that several later branches read (term counts, folds, probabilities) is
 shared folder named by ``spark.checkpoint.dir`` and read back. That cuts the lineage, survives the loss of executors,
 keeps column pruning for every reader, and gives the optimizer the true size of the data, so a join is turned into a
 broadcast only when the measured bytes are under ``spark.sql.autoBroadcastJoinThreshold``.
+
+All tables of one application lie in one folder, so the whole folder can be dropped when the application has ended.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and return a frame that reads the written table."""
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/textmill/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/textmill/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
