@@ -57,7 +57,7 @@ def running_totals(
     list of at most ``buckets`` numbers; they only decide the cut, not the result.
     """
     groups = list(groups)
-    edges = sorted(set(df.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.001)))
+    edges = sorted(set(df.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.005)))
     splits = [float("-inf"), *edges, float("inf")]
     cut = Bucketizer(splits=splits, inputCol=order, outputCol="_b").transform(df)
     direction = F.desc if descending else F.asc
