@@ -192,33 +192,39 @@ def forest_links(left: np.ndarray, right: np.ndarray | None, depth: int, used: i
     return left[ends[0]], other[ends[1]]
 
 
+def _packed_nodes(marks: DataFrame, pairs: DataFrame, level: int) -> DataFrame:
+    """``node``, ``marks``: the fingerprints of each node that is in a pair of this depth, at most ``node_rows``."""
+    at = pairs.where(F.col("depth") == level)
+    wanted = at.select(F.explode(F.array("left_node", "right_node")).alias("node")).distinct()
+    inside = marks.select("fingerprint", _prefix(F.col("fingerprint"), level).alias("node")).join(wanted, "node", "left_semi")
+    return inside.groupBy("node").agg(F.collect_list("fingerprint").alias("marks"))
+
+
 def links(marks: DataFrame, different: int = MAX_DIFFERENT, node_rows: int = NODE_ROWS) -> DataFrame:
     """``a``, ``b``: links of distinct fingerprints that connect exactly what all links connect. ``marks``: distinct rows."""
     pairs = node_pairs(marks, different, node_rows)
     key = ["depth", "left_node", "right_node"]
     levels = pairs.agg(F.collect_set("depth").alias("levels")).first()["levels"]  # at most 17 numbers
-    sides = []
-    for side in ("left", "right"):
-        wanted = pairs if side == "left" else pairs.where("left_node <> right_node")
-        for level in levels:
-            node = marks.select("fingerprint", _prefix(F.col("fingerprint"), level).alias(f"{side}_node"))
-            sides.append(wanted.where(F.col("depth") == level).join(node, f"{side}_node").select(*key, "used", "fingerprint", F.lit(side == "right").alias("right")))
-    rows = sides[0] if sides else None
-    if rows is None:
-        return marks.sparkSession.createDataFrame([], "a long, b long")
-    for more in sides[1:]:
-        rows = rows.unionByName(more)
+    empty = marks.sparkSession.createDataFrame([], "a long, b long")
+    if not levels:
+        return empty
+    nodes = None
+    for level in levels:
+        packed = _packed_nodes(marks, pairs, level).withColumn("depth", F.lit(level))
+        nodes = packed if nodes is None else nodes.unionByName(packed)
+    nodes = stage(nodes, "trie-leaves")
+    sides = [
+        wanted.join(nodes.withColumnRenamed("node", f"{side}_node"), ["depth", f"{side}_node"]).select(*key, "used", "marks", F.lit(side == "right").alias("right"))
+        for side, wanted in (("left", pairs), ("right", pairs.where("left_node <> right_node")))
+    ]
 
     def one_task(group: pa.Table) -> pa.Table:
-        depth, own = group["depth"][0].as_py(), group["left_node"][0] == group["right_node"][0]
-        marks_of = np.asarray(group["fingerprint"]).view(np.uint64)
-        side = np.asarray(group["right"].combine_chunks().cast(pa.int8())).astype(bool)
-        left = np.sort(marks_of[~side])
-        right = None if own else np.sort(marks_of[side])
-        a, b = forest_links(left, right, depth, group["used"][0].as_py(), different)
+        depth, used = group["depth"][0].as_py(), group["used"][0].as_py()
+        held = {right.as_py(): np.sort(np.asarray(row.values).view(np.uint64)) for right, row in zip(group["right"], group["marks"], strict=True)}
+        a, b = forest_links(held[False], held.get(True), depth, used, different)
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
-    return rows.groupBy(*key).applyInArrow(one_task, "a long, b long")
+    return sides[0].unionByName(sides[1]).groupBy(*key).applyInArrow(one_task, "a long, b long")
 
 
 # -- components ----------------------------------------------------------------------------------------------------------
