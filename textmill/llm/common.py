@@ -44,3 +44,23 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
 def one_text(text: str) -> Column:
     """The text as a string, null as the empty text."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
+
+
+class Remembered(dict):
+    """Computes missing values; keeps two generations of entries, so that its size is bounded."""
+
+    def __init__(self, compute: Callable, limit: int):
+        super().__init__()
+        self.compute, self.limit, self.old = compute, limit, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
+        return value
+
+    def trim(self) -> None:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from tokenizers import Tokenizer
 
-from textmill.llm.common import batches_of, one_text, table
+from textmill.llm.common import Remembered, batches_of, one_text, table
 from textmill.staging import stage
 
 TOKENIZER_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -50,26 +50,6 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in visible else chr(next(rest)) for b in range(256)}
 
 
-class _Remembered(dict):
-    """Computes missing values; keeps two generations of entries, so that its size is bounded."""
-
-    def __init__(self, compute, limit: int):
-        super().__init__()
-        self.compute, self.limit, self.old = compute, limit, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.compute(key)
-        self[key] = value
-        return value
-
-    def trim(self) -> None:
-        if len(self) > self.limit:
-            self.old = dict(self)
-            self.clear()
-
-
 class WordTokenizer:
     """Token ids of texts as little-endian unsigned 32-bit numbers, equal to those of the tokenizer file.
 
@@ -81,8 +61,8 @@ class WordTokenizer:
         self.whole.encode_special_tokens = True
         self.model = self.whole.model
         self.letters = _byte_letters()
-        self.words = _Remembered(self._word, remembered)
-        self.runs = _Remembered(self._run, remembered)
+        self.words = Remembered(self._word, remembered)
+        self.runs = Remembered(self._run, remembered)
 
     def _word(self, word: str) -> bytes:
         spelled = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])

@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import bitslice, byte_bpe, crosspolytope, packing, sharding, simhash
+from textmill.llm import bitslice, byte_bpe, crosspolytope, packing, sharding, simhash, surrogates, toxicity, url_lists, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.document_shards,
     "op2_topk_search": bitslice.embedding_top,
+    "op3_toxicity": toxicity.document_toxicity,
+    "op4_surrogates": surrogates.document_surrogates,
     "op5_simhash": simhash.document_duplicates,
     "op6_packing": packing.document_sequences,
+    "op7_token_counts": wordpiece.document_tokens,
+    "op8_url_lists": url_lists.page_verdicts,
     "op9_neighbours": crosspolytope.embedding_neighbours,
     "op10_byte_bpe": byte_bpe.document_round_trip,
 }
 
-SQL: dict[str, str] = {"op2_topk_search": bitslice.EMBEDDING_TOP_SQL}
+SQL: dict[str, str] = {"op2_topk_search": bitslice.EMBEDDING_TOP_SQL, "op8_url_lists": url_lists.PAGE_VERDICTS_SQL}
