@@ -6,8 +6,9 @@
    and in practice a few for each example; that bound is why it may be broadcast.
 3. Document frequencies of the features are counted over all documents.
 4. Index: postings by feature in the order of the examples, cut into blocks of 64 examples, with the largest weight of each
-   block. A search adds up the block maxima to a bound for every block, reads the best blocks first and then only those
-   whose bound still reaches the k-th best cosine: the result is exact.
+   block. A search adds up the block maxima to a bound for every block and takes a first limit from the best blocks. Then it
+   reads only blocks whose bound reaches the limit, and only postings of features that are needed to reach it; their
+   examples get exact cosines. The result is exact.
 5. Votes are weighted by nearness (squared cosine) and pulled towards the base rate; a monotone fit on left-one-out votes of
    the examples turns them into calibrated scores. The nearest examples are returned as evidence.
 
@@ -84,32 +85,53 @@ class BlockMaxIndex:
         self.largest = np.maximum.reduceat(self.weight, self.first[:-1]) if len(feature) else np.zeros(0)
         self.of_feature = np.searchsorted(feature[self.first[:-1]], np.arange(features + 1))
         self.blocks = -(-self.size // BLOCK)
+        self.top = np.zeros(features)  # largest weight of each feature
+        np.maximum.at(self.top, feature, self.weight)
+        # the vectors themselves, for the exact cosines of candidates
+        self.start = np.concatenate([[0], np.cumsum([len(f) for f, _ in vectors])]).astype(np.int64)
+        self.own_feature = np.concatenate([f for f, _ in vectors]) if vectors else np.zeros(0, dtype=np.int64)
+        self.own_weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
 
     def nearest(self, features: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples with a positive cosine, nearest first; ties by position."""
         low, high = self.of_feature[features], self.of_feature[features + 1]
         own = _ranges(low, high)
         times = np.repeat(weights, high - low)
-        bound = np.bincount(self.block[own], times * self.largest[own], minlength=self.blocks)
-        scores = np.zeros(self.size)
-        todo, limit = np.flatnonzero(bound > 0), 0.0
-        if not len(todo):
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        todo = todo[np.argsort(-bound[todo], kind="stable")]
-        for part in (todo[: 2 + 2 * k // BLOCK], todo[2 + 2 * k // BLOCK :]):
-            wanted = np.zeros(self.blocks, dtype=bool)
-            wanted[part[bound[part] >= limit * (1 - 1e-9)]] = True
-            chosen = wanted[self.block[own]]
-            at, w = own[chosen], times[chosen]
-            first, last = self.first[at], self.first[at + 1]
-            posts = _ranges(first, last)
-            scores += np.bincount(self.example[posts], np.repeat(w, last - first) * self.weight[posts], minlength=self.size)
-            if 0 <= without < self.size:
-                scores[without] = 0.0
-            limit = np.partition(scores, -k)[-k] if self.size > k else 0.0
-        found = np.flatnonzero(scores >= max(limit, 1e-300))
-        found = found[np.lexsort((found, -np.round(scores[found], 12)))][:k]
-        return found, np.minimum(scores[found], 1.0)
+        at_block = self.block[own]
+        bound = np.bincount(at_block, times * self.largest[own], minlength=self.blocks)
+        asked = np.zeros(len(self.of_feature) - 1)
+        asked[features] = weights
+        # the best blocks give a first limit
+        best = np.argsort(-bound, kind="stable")[: 2 + 2 * k // BLOCK]
+        near = (best[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        found, scores = self._best(near[near < self.size], asked, k, without)
+        limit = scores[-1] * (1 - 1e-9) if len(scores) == k else 0.0
+        # features that together stay below the limit cannot alone bring an example into the result
+        most = weights * self.top[features]
+        order = np.argsort(most, kind="stable")
+        needed = np.ones(len(features), dtype=bool)
+        needed[order[np.cumsum(most[order]) < limit]] = False
+        bound[best] = -1.0
+        chosen = own[np.repeat(needed, high - low) & (bound[at_block] >= limit)]
+        flags = np.zeros(self.size, dtype=bool)
+        flags[self.example[_ranges(self.first[chosen], self.first[chosen + 1])]] = True
+        more, their = self._best(np.flatnonzero(flags), asked, k, without)
+        found, scores = np.concatenate([found, more]), np.concatenate([scores, their])
+        both = np.lexsort((found, -scores))[:k]
+        return found[both], np.minimum(scores[both], 1.0)
+
+    def _best(self, candidates: np.ndarray, asked: np.ndarray, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of the candidates by their exact cosines."""
+        first, last = self.start[candidates], self.start[candidates + 1]
+        own = _ranges(first, last)
+        scores = np.round(np.bincount(np.repeat(np.arange(len(candidates)), last - first), asked[self.own_feature[own]] * self.own_weight[own], minlength=len(candidates)), 12)
+        kept = (scores > 0) & (candidates != without)
+        candidates, scores = candidates[kept], scores[kept]
+        if len(scores) > k:
+            kept = scores >= np.partition(scores, -k)[-k]
+            candidates, scores = candidates[kept], scores[kept]
+        best = np.lexsort((candidates, -scores))[:k]
+        return candidates[best], scores[best]
 
 
 def monotone_fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,14 +168,25 @@ class ToxicityModel:
         """How often each feature occurs in the text."""
         runs = self.__dict__.get("_runs")
         if runs is None:
-            names = self.names
-            runs = self._runs = Remembered(lambda run: tuple(names[f] for f in run_features(run) if f in names), 250_000)
+            # a selected word, beginning or end shows in these sets, so most runs need no look at their features
+            words = {n[1:] for n in self.names if n[0] == "="}
+            starts = {n[1 : 1 + _EDGES[0]] for n in self.names if n[0] == "^"}
+            ends = {n[-1 - _EDGES[0] : -1] for n in self.names if n[-1] == "$"}
+            runs = self._runs = Remembered(lambda run: self._selected(run, words, starts, ends), 250_000)
         found: Counter = Counter()
         for features in filter(None, map(runs.__getitem__, text.encode().split())):
-            found.update(features)
+            for feature in features:
+                found[feature] += 1
         runs.trim()
         return found
 
+    def _selected(self, run: bytes, words: set[str], starts: set[str], ends: set[str]) -> tuple[int, ...]:
+        least, names = _EDGES[0], self.names
+        for word in _WORD.findall(run.decode().lower()):
+            if word in words or word[:least] in starts or word[-least:] in ends:
+                return tuple(names[f] for f in run_features(run) if f in names)
+        return ()
+
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """Features in rising order and their TF-IDF weights, of length 1."""
         features = np.array(sorted(counts), dtype=np.int64)
@@ -299,6 +332,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     rows = [r for r in rows if r["counts"]]
     model.ids, model.toxic = np.array([r["id"] for r in rows], dtype=np.int64), np.array([r["toxic"] for r in rows], dtype=np.int64)
     counts = [{c["feature"]: c["times"] for c in r["counts"]} for r in rows]
+    # examples with the same strongest features lie together, so few blocks hold a feature and their bounds are close
+    strongest = [tuple(f[np.lexsort((f, -w))].tolist()) for f, w in map(model.vector, counts)]
+    order = sorted(range(len(rows)), key=lambda i: (strongest[i], rows[i]["id"]))
+    model.ids, model.toxic, counts = model.ids[order], model.toxic[order], [counts[i] for i in order]
     model.index = BlockMaxIndex([model.vector(c) for c in counts], len(names))
     votes = _votes_without_self(docs.sparkSession, model, counts)
     voted = np.array([v is not None for v in votes], dtype=bool)
