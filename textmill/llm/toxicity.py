@@ -7,8 +7,7 @@
 3. Document frequencies of the features are counted over all documents.
 4. Index: postings by feature in the order of the examples, cut into blocks of 64 examples, with the largest weight of each
    block. A search adds up the block maxima to a bound for every block and takes a first limit from the best blocks. Then it
-   reads only blocks whose bound reaches the limit, and only postings of features that are needed to reach it; their
-   examples get exact cosines. The result is exact.
+   reads only the blocks whose bound reaches the limit. The result is exact.
 5. Votes are weighted by nearness (squared cosine) and pulled towards the base rate; a monotone fit on left-one-out votes of
    the examples turns them into calibrated scores. The nearest examples are returned as evidence.
 
@@ -85,8 +84,6 @@ class BlockMaxIndex:
         self.largest = np.maximum.reduceat(self.weight, self.first[:-1]) if len(feature) else np.zeros(0)
         self.of_feature = np.searchsorted(feature[self.first[:-1]], np.arange(features + 1))
         self.blocks = -(-self.size // BLOCK)
-        self.top = np.zeros(features)  # largest weight of each feature
-        np.maximum.at(self.top, feature, self.weight)
         # the vectors themselves, for the exact cosines of candidates
         self.start = np.concatenate([[0], np.cumsum([len(f) for f, _ in vectors])]).astype(np.int64)
         self.own_feature = np.concatenate([f for f, _ in vectors]) if vectors else np.zeros(0, dtype=np.int64)
@@ -102,20 +99,19 @@ class BlockMaxIndex:
         asked = np.zeros(len(self.of_feature) - 1)
         asked[features] = weights
         # the best blocks give a first limit
-        best = np.argsort(-bound, kind="stable")[: 2 + 2 * k // BLOCK]
+        best = np.argsort(-bound, kind="stable")[: 4 + 2 * k // BLOCK]
         near = (best[:, None] * BLOCK + np.arange(BLOCK)).ravel()
         found, scores = self._best(near[near < self.size], asked, k, without)
         limit = scores[-1] * (1 - 1e-9) if len(scores) == k else 0.0
-        # features that together stay below the limit cannot alone bring an example into the result
-        most = weights * self.top[features]
-        order = np.argsort(most, kind="stable")
-        needed = np.ones(len(features), dtype=bool)
-        needed[order[np.cumsum(most[order]) < limit]] = False
+        # then the postings of all blocks whose bound reaches the limit
         bound[best] = -1.0
-        chosen = own[np.repeat(needed, high - low) & (bound[at_block] >= limit)]
-        flags = np.zeros(self.size, dtype=bool)
-        flags[self.example[_ranges(self.first[chosen], self.first[chosen + 1])]] = True
-        more, their = self._best(np.flatnonzero(flags), asked, k, without)
+        chosen = bound[at_block] >= max(limit, 1e-300)
+        at, first = own[chosen], self.first[own[chosen]]
+        last = self.first[at + 1]
+        posts = _ranges(first, last)
+        read = np.bincount(self.example[posts], np.repeat(times[chosen], last - first) * self.weight[posts], minlength=self.size)
+        more = np.flatnonzero(read >= max(limit, 1e-300))
+        more, their = self._best(more, asked, k, without)
         found, scores = np.concatenate([found, more]), np.concatenate([scores, their])
         both = np.lexsort((found, -scores))[:k]
         return found[both], np.minimum(scores[both], 1.0)
