@@ -10,6 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from textmill.errors import InvalidPoint
 from textmill.functions.numeric import fingerprint
 from textmill.operators import aggregates, bayes, features, graph, knn, learners, metrics, search, splits, vote
 from textmill.operators.ranking import rank_within, running_totals
@@ -291,7 +292,9 @@ def test_search_helpers(spark):
 
     def study(train_part, test_part, params):
         if params["a"] == 2:
-            raise ValueError("bad point")
+            raise InvalidPoint("bad point")
+        if params["a"] == 9:
+            raise ZeroDivisionError("a real error")
         return params["a"] / 10, float(test_part.count())
 
     summary, best = search.grid_search(df, {"a": [1, 2, 3]}, study, folds=2)
@@ -299,6 +302,30 @@ def test_search_helpers(spark):
     assert best == {"a": 3} and rows[2].test_score == 0.0 and rows[3].train_score == 10.0
     with pytest.raises(RuntimeError):
         search.run_studies(df, [{"a": 2}, {"a": 2}], study, 2, max_failed=1)
+    with pytest.raises(RuntimeError):  # no point succeeds
+        search.run_studies(df, [{"a": 2}], study, 2)
+    with pytest.raises(ZeroDivisionError):  # an error of the job is no result
+        search.run_studies(df, [{"a": 1}, {"a": 9}], study, 2)
+    with pytest.raises(ValueError):  # the second fold would never be tested
+        search.run_studies(df, [{"a": 1}], study, 1)
+
+
+def test_score_log_is_united_by_name(spark, tmp_path):
+    from textmill.sources import sinks
+
+    runs = [([(1, 0.5)], "depth int, test_score double"), ([(0.1, 0.9)], "alpha double, test_score double"), ([("l1", 3, 0.7)], "norm string, depth int, test_score double")]
+    for rows, schema in runs:
+        sinks.append_scores(spark.createDataFrame(rows, schema), f"{tmp_path}/log")
+    back = {r.test_score: (r.depth, r.alpha, r.norm) for r in sinks.read_scores(spark, f"{tmp_path}/log").collect()}
+    assert back == {0.5: (1, None, None), 0.9: (None, 0.1, None), 0.7: (3, None, "l1")}
+
+
+def test_long_chain_of_labels_settles(spark):
+    edges = spark.createDataFrame([(f"n{i:02d}", f"n{i + 1:02d}", 1) for i in range(60)], "src string, dst string, weight long")
+    settled = graph.communities(edges).collect()
+    assert len(settled) == 61
+    with pytest.raises(RuntimeError):
+        graph.communities(edges, max_rounds=3)
 
 
 def test_warm_start(spark):

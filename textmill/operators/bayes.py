@@ -135,7 +135,6 @@ def fit_nb(
     """Fit on staged term counts (key, label, term, tf) and the documents (key, label) they come from."""
     labels = distinct_labels(docs, label)
     n_docs = sum(n for _, n in labels)
-    vocab_params.setdefault("max_features", features.MAX_FEATURES)
     if vocab is None:
         vocab = stage(features.fit_vocab(counts, key=key, n_docs=F.lit(n_docs), **vocab_params), "vocab")
     if not use_idf:
@@ -162,7 +161,6 @@ def fit_ovr_nb(
     n_docs, positives = docs.agg(
         F.count("*"), F.expr(_array_of(f"count_if({m})" for m in members))
     ).first()
-    vocab_params.setdefault("max_features", features.MAX_FEATURES)
     vocab = stage(features.fit_vocab(counts, key=key, n_docs=F.lit(n_docs), **vocab_params), "vocab")
     values = features.normalise(features.tfidf(counts, vocab), norm, key)
     sums = stage(class_sums(values, members, [tags]), "class-sums")
@@ -274,7 +272,6 @@ def prequential(
     sizes = [(r[0], r[1]) for r in train_docs.groupBy(batch).agg(F.count("*")).orderBy(batch).collect()]
     labels = [name for name, _ in distinct_labels(train_docs, label)]
     per_pair = {(r[0], r[1]): r[2] for r in train_docs.groupBy(batch, label).agg(F.count("*")).collect()}
-    vocab_params.setdefault("max_features", features.MAX_FEATURES)
     n_docs = sum(n for _, n in sizes)
     vocab = stage(features.fit_vocab(train_counts, key=key, n_docs=F.lit(n_docs), **vocab_params), "vocab")
     vocab = vocab.withColumn("idf", F.lit(1.0))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from textmill.errors import InvalidPoint
 from textmill.functions.text import ngrams, tokenise
 from textmill.staging import scalar_of, stage
 
@@ -63,6 +64,8 @@ def fit_vocab(
     """
     if min_df == 1.0:
         min_df = 1
+    if isinstance(min_df, float) and isinstance(max_df, float) and min_df > max_df:
+        raise InvalidPoint(f"no term is in at least {min_df} and at most {max_df} of the documents")
     n = n_docs if n_docs is not None else scalar_of(counts, F.count_distinct(key))
     per_term = counts.filter(F.col("term").isNotNull()).groupBy("term").agg(
         F.count("*").alias("df"), F.sum("tf").alias("cf")

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from textmill.staging import stage
 
 
-def communities(edges: DataFrame, max_rounds: int = 10) -> DataFrame:
+def communities(edges: DataFrame, max_rounds: int = 1_000) -> DataFrame:
     """(label, community) by weighted label propagation on (src, dst, weight).
 
     Each round moves the nodes of one hash parity to the community with the largest total edge weight among their
     neighbours (ties: the smallest name). Alternating parities stop two neighbours from swapping for ever. Rounds are
-    joins on written tables, so the lineage stays short; two quiet rounds end the loop.
+    joins on written tables, so the lineage stays short; two quiet rounds end the loop. If labels still move after
+    ``max_rounds``, an error is raised instead of an unsettled partition.
     """
     both = edges.select("src", "dst", "weight").unionByName(
         edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
@@ -40,5 +41,5 @@ def communities(edges: DataFrame, max_rounds: int = 10) -> DataFrame:
         state = moved.select("label", "community")
         quiet = 0 if changed else quiet + 1
         if quiet == 2:
-            break
-    return state
+            return state
+    raise RuntimeError(f"labels still move after {max_rounds} rounds")

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from textmill.functions.tags import build_tag, powerset_label
 from textmill.functions.text import ngrams, tokenise
 from textmill.operators.aggregates import balanced_weights, with_weights
-from textmill.operators.features import MAX_FEATURES
 from textmill.staging import spread, stage
 
 NORM_P = {"l1": 1.0, "l2": 2.0}
@@ -54,7 +53,7 @@ def fit_tfidf(
     ngram_range: tuple[int, int] = (1, 1),
     min_df: float | int = 1,
     max_df: float | int = 1.0,
-    max_features: int = MAX_FEATURES,
+    max_features: int | None = None,
     norm: str | None = "l2",
 ) -> TfidfSteps:
     """Counts, idf + 1 and a row norm as pyspark.ml steps. The vocabulary held by the driver has ``max_features`` entries.
@@ -66,7 +65,7 @@ def fit_tfidf(
     tokens = stage(spread(df.select(text)).select(ngrams(tokenise(F.col(text), tokenizer), *ngram_range).alias("_tokens")), "tokens")
     n_docs = tokens.count()
     counter = CountVectorizer(
-        inputCol="_tokens", outputCol="_counts", vocabSize=max_features,
+        inputCol="_tokens", outputCol="_counts", vocabSize=max_features or 2**31 - 1,
         minDF=document_frequency_bound(min_df, n_docs), maxDF=max(document_frequency_bound(max_df, n_docs), 1.0),
     ).fit(tokens)
     counts = counter.transform(tokens)

@@ -17,6 +17,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.errors import InvalidPoint
 from textmill.operators.aggregates import in_ranges
 from textmill.operators.splits import dedupe, hash_sample
 
@@ -61,9 +62,13 @@ def run_studies(
 ) -> DataFrame:
     """(run_id, fold, params..., test_score, train_score, fit_time): one row per point and fold.
 
-    A study that raises scores ``failed_score``, unless more than ``max_failed`` points fail.
+    A study that raises InvalidPoint scores ``failed_score``, unless more than ``max_failed`` points fail or all do. Folds
+    are numbered from 0; rows of a fold beyond ``folds`` are refused, as they would never be tested.
     """
     spark = df.sparkSession
+    last = df.agg(F.max(fold)).first()[0]
+    if last is not None and last >= folds:
+        raise ValueError(f"the data has {last + 1} folds, the search {folds}")
     tasks = [(i, f, p) for i, p in enumerate(points) for f in range(folds)]
 
     def one(task: tuple[int, int, dict]) -> tuple[dict, Exception | None]:
@@ -71,7 +76,7 @@ def run_studies(
         start, error = time.time(), None
         try:
             test, train = run(df.filter(F.col(fold) != number), df.filter(F.col(fold) == number), params)
-        except Exception as exc:  # noqa: BLE001 - an invalid point is a result of the search, not of the job
+        except InvalidPoint as exc:  # a result of the search; any other error ends the job
             test = train = failed_score
             error = exc
         row = {"run_id": run_id, "fold": number, **{k: _text(v) for k, v in params.items()}}
@@ -81,7 +86,7 @@ def run_studies(
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         results = list(pool.map(one, tasks))
     failed = {row["run_id"]: error for row, error in results if error is not None}
-    if max_failed is not None and len(failed) > max_failed:
+    if (max_failed is not None and len(failed) > max_failed) or (points and len(failed) == len(points)):
         raise RuntimeError(f"{len(failed)} of {len(points)} points failed") from next(iter(failed.values()))
     return _rows_to_frame(spark, [row for row, _ in results])
 

@@ -388,7 +388,7 @@ def _(spark, sf):
 @register("one_vs_rest_forest")
 def _(spark, sf):
     vectors = ml_tagged(spark, sf)
-    models = learners.fit_ovr(vectors.filter("split = 'train'"), ["en", "long"], small_forest)
+    models = learners.fit_ovr(vectors.filter("split = 'train'"), LANGS + SIZES, small_forest)
     predicted = learners.predict_ovr_models(vectors.filter("split = 'eval'"), models)
     return predicted.select("id", F.array_join("predicted", "|").alias("predicted"))
 

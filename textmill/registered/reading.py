@@ -143,13 +143,10 @@ def _(spark, sf):
     log = score_log(spark, sf)
     old = log.filter(F.col("run_id") % 2 == 0)
     new = log.filter(F.col("run_id") % 2 == 1).drop("max_depth").withColumn("alpha", F.col("run_id") / 10.0)
-    path_old, path_new = scratch(spark, "old-scores"), scratch(spark, "new-scores")
-    sinks.append_scores(old, path_old)
-    sinks.append_scores(new, path_new)
-    both = sinks.union_scores(
-        sinks.read_scores(spark, path_old, old.schema), sinks.read_scores(spark, path_new, new.schema)
-    )
-    return rounded(both, "test_score").select("run_id", "max_depth", "alpha", "cv_folds", "test_score")
+    path = scratch(spark, "scores")
+    sinks.append_scores(old, path)
+    sinks.append_scores(new, path)
+    return rounded(sinks.read_scores(spark, path), "test_score").select("run_id", "max_depth", "alpha", "cv_folds", "test_score")
 
 
 @register(

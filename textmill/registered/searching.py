@@ -47,7 +47,7 @@ def _(spark, sf):
 @register("random_search")
 def _(spark, sf):
     grid = {"alpha": [0.2, 0.4, 0.6, 0.8], "norm": ["l1", "l2", "None"]}
-    summary, _ = search.random_search(folded_counts(spark, sf), grid, nb_study, n_iter=2, folds=2)
+    summary, _ = search.random_search(folded_counts(spark, sf, 2), grid, nb_study, n_iter=2, folds=2)
     return rounded(summary.drop("date"))
 
 

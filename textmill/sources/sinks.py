@@ -53,14 +53,13 @@ def to_json_records(df: DataFrame) -> DataFrame:
 
 
 def append_scores(scores: DataFrame, path: str) -> None:
-    """Append a score table to a ';' CSV log. Every run is written as its own files with its own header."""
-    scores.write.mode("append").option("header", True).option("sep", ";").csv(path)
+    """Append a score table to a log; every run keeps its own columns, by name."""
+    scores.write.mode("append").parquet(path)
 
 
 def read_scores(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Read one score log. Give a schema to avoid a type-guessing pass."""
-    reader = spark.read.option("header", True).option("sep", ";")
-    return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+    """All runs of a score log, united by column name; columns that a run lacks are null."""
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.option("mergeSchema", True).parquet(path)
 
 
 def union_scores(old: DataFrame, new: DataFrame) -> DataFrame:

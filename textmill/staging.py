@@ -23,6 +23,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder of the cluster; a temporary folder only where the session names none (tests, laptops)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         root = _UNSET_ROOTS.setdefault(app, None) or tempfile.mkdtemp(prefix="textmill-checkpoint-")
         _UNSET_ROOTS[app] = root
