@@ -6,12 +6,14 @@
    and in practice a few for each example; that bound is why it may be broadcast.
 3. Document frequencies of the features are counted over all documents.
 4. Index: postings by feature in the order of the examples, cut into blocks of 64 examples, with the largest weight of each
-   block. A search adds up the block maxima to a bound for every block and takes a first limit from the best blocks. Then it
-   reads only the blocks whose bound reaches the limit. The result is exact.
+   block. A search adds up the block maxima to a bound for every block and takes a first limit from the best blocks. The
+   weakest features, which together cannot reach a share of that limit, are not read; their block maxima stand in for them.
+   Only examples whose read weights and maxima reach the limit are compared in full. The result is exact.
 5. Votes are weighted by nearness (squared cosine) and pulled towards the base rate; a monotone fit on left-one-out votes of
    the examples turns them into calibrated scores. The nearest examples are returned as evidence.
 
-Scoring reads whole texts in one pass and moves no rows.
+Whole texts are read once: what they hold of the features is written beside the rows and serves the document frequencies and
+the scores. No rows are moved.
 """
 
 from __future__ import annotations
@@ -35,10 +37,16 @@ MAX_EXAMPLES, MAX_FEATURES = 20_000, 4_096
 NEIGHBOURS, EVIDENCE = 25, 3
 THRESHOLD = 0.3
 BLOCK = 64
+#: Share of the limit that features left unread may reach together: a smaller one reads more postings and compares fewer examples.
+UNREAD = 0.3
 #: Least G (chi-square with one degree of freedom) and least number of examples of a feature.
 LEAST_G, LEAST_EXAMPLES = 13.0, 3
+#: Column with the features of a text and how often each occurs, as pairs of 32-bit numbers in rising order.
+COUNTS = "__toxicity_counts"
 _WORD = re.compile(r"\w+")
 _EDGES = (4, 5, 6)
+#: ASCII signs around a word that are no part of any word.
+_SIGNS = b".,;:!?()[]{}<>\"'`*#-"
 
 
 def held_out(id_column: str) -> Column:
@@ -84,33 +92,58 @@ class BlockMaxIndex:
         self.largest = np.maximum.reduceat(self.weight, self.first[:-1]) if len(feature) else np.zeros(0)
         self.of_feature = np.searchsorted(feature[self.first[:-1]], np.arange(features + 1))
         self.blocks = -(-self.size // BLOCK)
+        self.posts = self.first[self.of_feature]  # where the postings of each feature start
         # the vectors themselves, for the exact cosines of candidates
         self.start = np.concatenate([[0], np.cumsum([len(f) for f, _ in vectors])]).astype(np.int64)
         self.own_feature = np.concatenate([f for f, _ in vectors]) if vectors else np.zeros(0, dtype=np.int64)
         self.own_weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
 
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "_maxima"}
+
+    def maxima(self) -> np.ndarray:
+        """Largest weight by feature and block, 0 where a block has none; made once per worker."""
+        held = self.__dict__.get("_maxima")
+        if held is None:
+            held = self._maxima = np.zeros((len(self.of_feature) - 1, self.blocks))
+            held[np.repeat(np.arange(len(held)), np.diff(self.of_feature)), self.block] = self.largest
+        return held
+
     def nearest(self, features: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples with a positive cosine, nearest first; ties by position."""
-        low, high = self.of_feature[features], self.of_feature[features + 1]
-        own = _ranges(low, high)
-        times = np.repeat(weights, high - low)
-        at_block = self.block[own]
-        bound = np.bincount(at_block, times * self.largest[own], minlength=self.blocks)
+        parts = self.maxima()[features] * weights[:, None]
+        bound = parts.sum(axis=0)
         asked = np.zeros(len(self.of_feature) - 1)
         asked[features] = weights
         # the best blocks give a first limit
-        best = np.argsort(-bound, kind="stable")[: 4 + 2 * k // BLOCK]
+        best = np.argsort(-bound, kind="stable")[: 2 + 2 * k // BLOCK]
         near = (best[:, None] * BLOCK + np.arange(BLOCK)).ravel()
         found, scores = self._best(near[near < self.size], asked, k, without)
-        limit = scores[-1] * (1 - 1e-9) if len(scores) == k else 0.0
-        # then the postings of all blocks whose bound reaches the limit
-        bound[best] = -1.0
-        chosen = bound[at_block] >= max(limit, 1e-300)
-        at, first = own[chosen], self.first[own[chosen]]
-        last = self.first[at + 1]
-        posts = _ranges(first, last)
-        read = np.bincount(self.example[posts], np.repeat(times[chosen], last - first) * self.weight[posts], minlength=self.size)
-        more = np.flatnonzero(read >= max(limit, 1e-300))
+        limit = scores[-1] * (1 - 1e-9) - 1e-12 if len(scores) == k else 0.0
+        # features that together stay below a share of the limit are not read: no example reaches it by them alone
+        highest = parts.max(axis=1, initial=0.0)
+        order = np.argsort(highest, kind="stable")
+        unread = int(np.searchsorted(np.cumsum(highest[order]), UNREAD * limit))
+        read = np.zeros(self.blocks * BLOCK)
+        for feature in features[order[unread:]].tolist():
+            low, high = self.posts[feature], self.posts[feature + 1]
+            read[self.example[low:high]] += asked[feature] * self.weight[low:high]
+        read = read.reshape(-1, BLOCK)
+        read[best] = 0.0
+        if without >= 0:
+            read[without // BLOCK, without % BLOCK] = 0.0
+        # what an example must have read already, in blocks whose bound reaches the limit
+        rest = parts[order[:unread]].sum(axis=0)
+        needed = np.maximum(limit - rest, 1e-300)
+        blocks = np.flatnonzero((bound >= limit) & (read.max(axis=1, initial=0.0) >= needed))
+        block, inside = np.nonzero(read[blocks] >= needed[blocks, None])
+        block = blocks[block]
+        if len(block) > k:  # the k-th largest weight read so far is a limit, too
+            have = read[block, inside]
+            limit = max(limit, np.partition(have, -k)[-k] * (1 - 1e-9) - 1e-12)
+            kept = have + rest[block] >= limit
+            block, inside = block[kept], inside[kept]
+        more = block * BLOCK + inside
         more, their = self._best(more, asked, k, without)
         found, scores = np.concatenate([found, more]), np.concatenate([scores, their])
         both = np.lexsort((found, -scores))[:k]
@@ -164,24 +197,35 @@ class ToxicityModel:
         """How often each feature occurs in the text."""
         runs = self.__dict__.get("_runs")
         if runs is None:
-            # a selected word, beginning or end shows in these sets, so most runs need no look at their features
-            words = {n[1:] for n in self.names if n[0] == "="}
-            starts = {n[1 : 1 + _EDGES[0]] for n in self.names if n[0] == "^"}
-            ends = {n[-1 - _EDGES[0] : -1] for n in self.names if n[-1] == "$"}
+            words = {n[1:]: i for n, i in self.names.items() if n[0] == "="}
+            starts = {n[1:]: i for n, i in self.names.items() if n[0] == "^"}
+            ends = {n[:-1]: i for n, i in self.names.items() if n[-1] == "$"}
+            # the shortest edge of a selected longer one is a key too, so one look is enough for most words
+            for edges, cut in ((starts, slice(_EDGES[0])), (ends, slice(-_EDGES[0], None))):
+                for edge in list(edges):
+                    edges.setdefault(edge[cut], None)
             runs = self._runs = Remembered(lambda run: self._selected(run, words, starts, ends), 250_000)
         found: Counter = Counter()
-        for features in filter(None, map(runs.__getitem__, text.encode().split())):
+        seen = Counter(text.encode().split())
+        for features, times in zip(map(runs.__getitem__, seen), seen.values(), strict=True):
             for feature in features:
-                found[feature] += 1
+                found[feature] += times
         runs.trim()
         return found
 
-    def _selected(self, run: bytes, words: set[str], starts: set[str], ends: set[str]) -> tuple[int, ...]:
-        least, names = _EDGES[0], self.names
-        for word in _WORD.findall(run.decode().lower()):
-            if word in words or word[:least] in starts or word[-least:] in ends:
-                return tuple(names[f] for f in run_features(run) if f in names)
-        return ()
+    def _selected(self, run: bytes, words: dict[str, int], starts: dict[str, int | None], ends: dict[str, int | None]) -> tuple[int, ...]:
+        found = []
+        core = run.strip(_SIGNS)
+        # ASCII letters and digits between signs are one word
+        for word in (core.decode().lower(),) if core.isalnum() else _WORD.findall(run.decode().lower()):
+            if word in words:
+                found.append(words[word])
+            size = len(word)
+            if word[: _EDGES[0]] in starts:
+                found += [starts[word[:n]] for n in _EDGES if n < size and starts.get(word[:n]) is not None]
+            if word[-_EDGES[0] :] in ends:
+                found += [ends[word[-n:]] for n in _EDGES if n < size and ends.get(word[-n:]) is not None]
+        return tuple(found)
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """Features in rising order and their TF-IDF weights, of length 1."""
@@ -199,16 +243,19 @@ class ToxicityModel:
         weights = np.square(cosines)
         return float(((weights * self.toxic[found]).sum() + 0.5 * self.base_rate) / (weights.sum() + 0.5)), found, cosines
 
-    def score(self, text: str) -> tuple[float, list[dict]]:
-        """Calibrated score and evidence of one text."""
-        counts = self.counts(text)
+    def pairs(self, text: str) -> bytes:
+        """The value of ``COUNTS`` for a text."""
+        return np.array(sorted(self.counts(text).items()), dtype="<i4").tobytes()
+
+    def score(self, pairs: bytes) -> tuple[float, list[dict]]:
+        """Calibrated score and evidence of a text by its value of ``COUNTS``."""
         known = self.__dict__.setdefault("_known", Remembered(self._scored, 20_000))
-        result = known[tuple(sorted(counts.items()))]
+        result = known[pairs]
         known.trim()
         return result
 
-    def _scored(self, counts: tuple[tuple[int, int], ...]) -> tuple[float, list[dict]]:
-        vote, found, cosines = self.vote(dict(counts))
+    def _scored(self, pairs: bytes) -> tuple[float, list[dict]]:
+        vote, found, cosines = self.vote(dict(np.frombuffer(pairs, dtype="<i4").reshape(-1, 2).tolist()))
         if vote is None:
             return self.without_evidence, []
         score = float(np.clip(np.interp(vote, *self.curve), 0.0, 1.0)) if self.curve and len(self.curve[0]) else self.base_rate
@@ -276,27 +323,40 @@ def choose_features(examples: DataFrame, max_features: int) -> list[str]:
     return [r["feature"] for r in marked.orderBy(F.desc("g"), "feature").select("feature").limit(max_features).collect()]
 
 
-def document_frequencies(docs: DataFrame, names: dict[str, int]) -> tuple[int, np.ndarray]:
-    """Number of all documents and of those with each feature; every task returns one row per feature at most."""
+def count_features(docs: DataFrame, names: dict[str, int], kept: list[str]) -> DataFrame:
+    """The columns ``kept`` of ``docs`` plus ``COUNTS``, written; a null text counts as empty."""
     model = docs.sparkSession.sparkContext.broadcast(ToxicityModel(names, np.ones(len(names)), 0.0))
-    every = len(names)
+    chosen = docs.select(*[F.col(f"`{c}`") for c in kept], one_text("text").alias(COUNTS))
+    schema = T.StructType([*chosen.schema.fields[:-1], T.StructField(COUNTS, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, counts = model.value, np.zeros(every + 1, dtype=np.int64)
+        held = model.value
         for batch in batches:
             for part in batches_of(batch):
-                counts[every] += part.num_rows
-                for text in part.column(0).to_pylist():
-                    counts[list(held.counts(text))] += 1
+                pairs = pa.array([held.pairs(t) for t in part.column(len(kept)).to_pylist()], pa.binary())
+                yield pa.record_batch([*part.columns[:-1], pairs], part.schema.names)
+
+    return stage(chosen.mapInArrow(run, schema), "feature-counts")
+
+
+def document_frequencies(counted: DataFrame, features: int) -> tuple[int, np.ndarray]:
+    """Number of all documents and of those with each feature; every task returns one row per feature at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(features + 1, dtype=np.int64)
+        for batch in batches:
+            for part in batches_of(batch):
+                counts[features] += part.num_rows
+                held = np.frombuffer(b"".join(part.column(0).to_pylist()), dtype="<i4").reshape(-1, 2)[:, 0]
+                counts[:features] += np.bincount(held, minlength=features)
         seen = np.flatnonzero(counts)
         yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], ["feature", "n"])
 
-    counted = docs.select(one_text("text").alias("text")).mapInArrow(run, "feature bigint, n bigint")
-    rows = counted.groupBy("feature").agg(F.sum("n").alias("n")).collect()  # one per feature
-    found = np.zeros(every + 1, dtype=np.int64)
+    rows = counted.select(COUNTS).mapInArrow(run, "feature bigint, n bigint").groupBy("feature").agg(F.sum("n").alias("n")).collect()  # one per feature
+    found = np.zeros(features + 1, dtype=np.int64)
     for r in rows:
         found[r["feature"]] = r["n"]
-    return int(found[every]), found[:every]
+    return int(found[features]), found[:features]
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_features: int = MAX_FEATURES, neighbours: int = NEIGHBOURS) -> ToxicityModel:
@@ -304,9 +364,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
 
     A doc_id labelled several times is toxic if one label says so; null labels and ids are left out.
     """
+    return fit_and_count(docs, labels, [], max_examples, max_features, neighbours)[0]
+
+
+def fit_and_count(
+    docs: DataFrame, labels: DataFrame, kept: list[str], max_examples: int = MAX_EXAMPLES, max_features: int = MAX_FEATURES, neighbours: int = NEIGHBOURS,
+) -> tuple[ToxicityModel, DataFrame]:
+    """The model, and the columns ``kept`` of ``docs`` with ``COUNTS``, which ``score`` takes in place of the texts."""
     examples = labelled_examples(docs, labels, max_examples)
     names = {name: i for i, name in enumerate(choose_features(examples, max_features))}
-    documents, frequency = document_frequencies(docs, names)
+    counted = count_features(docs, names, kept)
+    documents, frequency = document_frequencies(counted, len(names))
     rate = examples.agg(F.avg("toxic")).first()[0] or 0.0
     model = ToxicityModel(names, np.log((1.0 + documents) / (1.0 + frequency)) + 1.0, rate, without_evidence=rate, neighbours=neighbours)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -322,8 +390,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
             for part in batches_of(batch):
                 yield count(part)
 
-    counted = examples.select("id", "text", "toxic").mapInArrow(run, "id bigint, toxic int, counts array<struct<feature: bigint, times: bigint>>")
-    rows = sorted(counted.collect(), key=lambda r: r["id"])  # at most max_examples
+    counted_examples = examples.select("id", "text", "toxic").mapInArrow(run, "id bigint, toxic int, counts array<struct<feature: bigint, times: bigint>>")
+    rows = sorted(counted_examples.collect(), key=lambda r: r["id"])  # at most max_examples
     bare = [r["toxic"] for r in rows if not r["counts"]]
     rows = [r for r in rows if r["counts"]]
     model.ids, model.toxic = np.array([r["id"] for r in rows], dtype=np.int64), np.array([r["toxic"] for r in rows], dtype=np.int64)
@@ -339,7 +407,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     model.without_evidence = (sum(bare) + rate) / (len(bare) + 1.0)
     if voted.any():
         model.curve = monotone_fit(np.array([v for v in votes if v is not None]), model.toxic[voted].astype(float))
-    return model
+    return model, counted
 
 
 def _votes_without_self(spark: SparkSession, model: ToxicityModel, counts: list[dict[int, int]]) -> list[float | None]:
@@ -363,38 +431,44 @@ def _votes_without_self(spark: SparkSession, model: ToxicityModel, counts: list[
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """All columns of ``docs`` plus ``score``, ``predicted`` and ``evidence`` (doc_id, similarity, toxic of the nearest).
 
+    With a column ``COUNTS`` (from ``fit_and_count`` of this model) texts are not read; it is left out of the result.
     A null or empty text has no evidence and gets the share of toxic examples without evidence. Repeated rows are scored
     alike. Columns with the names of the results are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     results = ("score", "predicted", "evidence")
-    kept = docs.drop(*results)
-    place = kept.columns.index("text")
+    ready = COUNTS in docs.columns
+    names = [c for c in docs.columns if c not in (*results, COUNTS)]
+    asked = F.col(COUNTS) if ready else one_text("text")
+    chosen = docs.select(*[F.col(f"`{c}`") for c in names], asked.alias(COUNTS))
     evidence = T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("similarity", T.DoubleType()), T.StructField("toxic", T.IntegerType())]))
-    schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("evidence", evidence)])
+    schema = T.StructType([*chosen.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("evidence", evidence)])
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         for batch in batches:
             for part in batches_of(batch):
-                scored = [held.score(t or "") for t in part.column(place).to_pylist()]
+                scored = [held.score(x if ready else held.pairs(x)) for x in part.column(len(names)).to_pylist()]
                 scores = [s for s, _ in scored]
                 yield pa.record_batch(
-                    [*part.columns, pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array([e for _, e in scored], kind)],
-                    [*part.schema.names, *results],
+                    [*part.columns[:-1], pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array([e for _, e in scored], kind)],
+                    [*names, *results],
                 )
 
-    return kept.mapInArrow(run, schema)
+    return chosen.mapInArrow(run, schema)
 
 
 def document_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
-    scored = score(docs.select("doc_id", "text"), fit(docs, table(spark, sf, "labels")))
-    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", F.to_json("evidence").alias("evidence"))
+    model, counted = fit_and_count(docs, table(spark, sf, "labels"), ["doc_id"])
+    return score(counted, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", F.to_json("evidence").alias("evidence"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf: str) -> DataFrame:
     """The documents that are not rejected, with their columns."""
-    kept = score(docs, fit(docs, table(spark, sf, "labels"))).where(F.col("predicted") == 0)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = docs.columns
+    clear = [f"__{i}" for i in range(len(names))]  # columns may have the names of the results
+    model, counted = fit_and_count(docs, table(spark, sf, "labels"), names)
+    kept = score(counted.toDF(*clear, COUNTS), model).where(F.col("predicted") == 0)
+    return kept.select(*clear).toDF(*names)
