@@ -75,6 +75,31 @@ def test_toxicity_of_odd_rows(spark, odd_documents, no_documents):
     assert toxicity.score(no_documents, toxicity.fit(no_documents, labels)).collect() == []
 
 
+def test_counts_equal_all_features():
+    names = {n: i for i, n in enumerate(["=fool", "^fool", "foolish$"[1:], "^foolis", "lish$", "=é1", "^grüße", "=a_b", "=x"])}
+    model = toxicity.ToxicityModel(names, np.ones(len(names)), 0.0)
+    for text in ("Fool! foolish, (FOOLISH) foolishly fool's a_b x é1", "Grüßen *grüße* ab\x1cfool --x-- ...", "", "İ x" * 50):
+        want = Counter(names[f] for run in text.encode().split() for f in toxicity.run_features(run) if f in names)
+        assert model.counts(text) == want
+        assert np.frombuffer(model.pairs(text), "<i4").reshape(-1, 2).tolist() == [list(x) for x in sorted(want.items())]
+
+
+def test_written_counts_give_the_scores_of_the_texts(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("score", F.lit("clashing"))
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    model, counted = toxicity.fit_and_count(docs, labels, ["doc_id"])
+    by_counts = toxicity.score(counted, model)
+    assert by_counts.columns == ["doc_id", "score", "predicted", "evidence"]
+    by_texts = toxicity.score(docs, model).select(by_counts.columns)
+    judged = sorted(by_counts.collect())
+    assert judged == sorted(by_texts.collect())
+    kept = toxicity.drop_toxic(spark, docs, sf)
+    assert kept.columns == docs.columns
+    clean = {r.doc_id for r in judged if not r.predicted}
+    assert sorted(kept.collect()) == sorted(r for r in docs.collect() if r.doc_id in clean)
+
+
 # -- surrogates ----------------------------------------------------------------------------------------------------------
 
 MENTIONS = [
