@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -38,15 +38,19 @@ NEIGHBOURS, EVIDENCE = 25, 3
 THRESHOLD = 0.3
 BLOCK = 64
 #: Share of the limit that features left unread may reach together: a smaller one reads more postings and compares fewer examples.
-UNREAD = 0.3
+UNREAD = 0.1
+#: Vectors searched for at once.
+VECTORS = 32
+#: A feature that more than one example in so many holds has its postings laid out as whole blocks.
+DENSE = 16
 #: Least G (chi-square with one degree of freedom) and least number of examples of a feature.
 LEAST_G, LEAST_EXAMPLES = 13.0, 3
 #: Column with the features of a text and how often each occurs, as pairs of 32-bit numbers in rising order.
 COUNTS = "__toxicity_counts"
 _WORD = re.compile(r"\w+")
 _EDGES = (4, 5, 6)
-#: ASCII signs around a word that are no part of any word.
-_SIGNS = b".,;:!?()[]{}<>\"'`*#-"
+#: Signs around a word that are no part of any word.
+_SIGNS = ".,;:!?()[]{}<>\"'`*#-"
 
 
 def held_out(id_column: str) -> Column:
@@ -99,7 +103,7 @@ class BlockMaxIndex:
         self.own_weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_maxima"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_maxima", "_dense")}
 
     def maxima(self) -> np.ndarray:
         """Largest weight by feature and block, 0 where a block has none; made once per worker."""
@@ -109,45 +113,80 @@ class BlockMaxIndex:
             held[np.repeat(np.arange(len(held)), np.diff(self.of_feature)), self.block] = self.largest
         return held
 
+    def dense(self) -> tuple[np.ndarray, np.ndarray]:
+        """Features with whole blocks, and their weights for all examples (32 bits); at most DENSE times the postings."""
+        held = self.__dict__.get("_dense")
+        if held is None:
+            sizes = np.diff(self.posts)
+            whole = np.flatnonzero(sizes * DENSE > self.size)
+            weights = np.zeros((len(whole), self.blocks * BLOCK), dtype=np.float32)
+            posts = _ranges(self.posts[whole], self.posts[whole + 1])
+            weights[np.repeat(np.arange(len(whole)), sizes[whole]), self.example[posts]] = self.weight[posts]
+            held = self._dense = (whole, weights)
+        return held
+
     def nearest(self, features: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples with a positive cosine, nearest first; ties by position."""
-        parts = self.maxima()[features] * weights[:, None]
-        bound = parts.sum(axis=0)
-        asked = np.zeros(len(self.of_feature) - 1)
-        asked[features] = weights
+        return self.nearest_of([(features, weights)], k, [without])[0]
+
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of each vector; the products with whole blocks are made for several vectors at once."""
+        whole, held = self.dense()
+        found = []
+        for start in range(0, len(vectors), VECTORS):
+            some = vectors[start : start + VECTORS]
+            asked = np.zeros((len(some), len(self.of_feature) - 1))
+            for row, (features, weights) in zip(asked, some, strict=True):
+                row[features] = weights
+            read = asked[:, whole].astype(np.float32) @ held
+            asked_sparse = np.ones(asked.shape[1], dtype=bool)
+            asked_sparse[whole] = False
+            for i, (features, _) in enumerate(some):
+                found.append(self._nearest(features, asked[i], features[asked_sparse[features]], read[i].reshape(-1, BLOCK), k, without[start + i]))
+        return found
+
+    def _nearest(self, features: np.ndarray, asked: np.ndarray, sparse: np.ndarray, read: np.ndarray, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
+        """``read``: what the features with whole blocks give, by block; ``sparse``: the other ones of ``features``."""
+        slack = (len(self.dense()[0]) + 4) * float(np.finfo(np.float32).eps)  # more than the error of 32-bit sums
+        bound = asked[features] @ self.maxima()[features]
         # the best blocks give a first limit
         best = np.argsort(-bound, kind="stable")[: 2 + 2 * k // BLOCK]
-        near = (best[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        found, scores = self._best(near[near < self.size], asked, k, without)
-        limit = scores[-1] * (1 - 1e-9) - 1e-12 if len(scores) == k else 0.0
+        scores = np.concatenate([np.zeros(0), *[self._block_scores(b, asked, without) for b in best.tolist()]])
+        limit = np.partition(scores, -k)[-k] - slack if len(scores) >= k else 0.0
         # features that together stay below a share of the limit are not read: no example reaches it by them alone
+        parts = self.maxima()[sparse] * asked[sparse][:, None]
         highest = parts.max(axis=1, initial=0.0)
         order = np.argsort(highest, kind="stable")
-        unread = int(np.searchsorted(np.cumsum(highest[order]), UNREAD * limit))
-        read = np.zeros(self.blocks * BLOCK)
-        for feature in features[order[unread:]].tolist():
-            low, high = self.posts[feature], self.posts[feature + 1]
-            read[self.example[low:high]] += asked[feature] * self.weight[low:high]
-        read = read.reshape(-1, BLOCK)
-        read[best] = 0.0
-        if without >= 0:
-            read[without // BLOCK, without % BLOCK] = 0.0
-        # what an example must have read already, in blocks whose bound reaches the limit
-        rest = parts[order[:unread]].sum(axis=0)
-        needed = np.maximum(limit - rest, 1e-300)
-        blocks = np.flatnonzero((bound >= limit) & (read.max(axis=1, initial=0.0) >= needed))
-        block, inside = np.nonzero(read[blocks] >= needed[blocks, None])
-        block = blocks[block]
-        if len(block) > k:  # the k-th largest weight read so far is a limit, too
-            have = read[block, inside]
-            limit = max(limit, np.partition(have, -k)[-k] * (1 - 1e-9) - 1e-12)
-            kept = have + rest[block] >= limit
-            block, inside = block[kept], inside[kept]
-        more = block * BLOCK + inside
-        more, their = self._best(more, asked, k, without)
-        found, scores = np.concatenate([found, more]), np.concatenate([scores, their])
-        both = np.lexsort((found, -scores))[:k]
-        return found[both], np.minimum(scores[both], 1.0)
+        unread = int(np.searchsorted(np.cumsum(highest[order]), UNREAD * limit)) if limit > 0 else 0
+        blocks = np.flatnonzero(bound + slack >= limit)
+        rest = parts[order[:unread]].sum(axis=0)[blocks]
+        sparse = sparse[order[unread:]]
+        first, last = self.posts[sparse], self.posts[sparse + 1]
+        posts = _ranges(first, last)
+        read = read[blocks]
+        if len(posts):
+            products = np.repeat(asked[sparse], last - first) * self.weight[posts]
+            read = read + np.bincount(self.example[posts], products, minlength=self.blocks * BLOCK).reshape(-1, BLOCK)[blocks]
+        # what an example must have read already
+        reached = np.flatnonzero(read >= np.maximum(limit - rest, 1e-300)[:, None])
+        block = reached // BLOCK
+        have = read.ravel()[reached]
+        at = k + (without >= 0)  # the example left out may be among those read
+        if len(reached) > at:  # the k-th largest weight read so far is a limit, too
+            kept = have + rest[block] >= np.partition(have, -at)[-at] - 2 * slack
+            reached, block = reached[kept], block[kept]
+        found, scores = self._best(blocks[block] * BLOCK + reached % BLOCK, asked, k, without)
+        return found, np.minimum(scores, 1.0)
+
+    def _block_scores(self, block: int, asked: np.ndarray, without: int) -> np.ndarray:
+        """Cosines of the examples of a block, whose features lie side by side."""
+        starts = self.start[block * BLOCK : (block + 1) * BLOCK + 1]
+        own = slice(starts[0], starts[-1])
+        sums = np.concatenate([[0.0], np.cumsum(asked[self.own_feature[own]] * self.own_weight[own])])
+        scores = np.diff(sums[starts - starts[0]])
+        if without // BLOCK == block:
+            scores[without % BLOCK] = 0.0
+        return scores
 
     def _best(self, candidates: np.ndarray, asked: np.ndarray, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best of the candidates by their exact cosines."""
@@ -176,6 +215,28 @@ def monotone_fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([b[2] / b[1] for b in blocks]), np.array([b[0] / b[1] for b in blocks])
 
 
+class KnownRuns:
+    """Which runs hold features, found once each; the table of those that hold none has two generations, so both are bounded."""
+
+    def __init__(self, compute: Callable[[list[bytes]], dict[bytes, tuple[int, ...]]], limit: int):
+        self.compute, self.limit = compute, limit
+        self.having: dict[bytes, tuple[int, ...]] = {}
+        self.without: set[bytes] = set()
+        self.before: set[bytes] = set()
+
+    def learn(self, runs: set[bytes]) -> None:
+        """Every one of the runs that holds features is in ``having`` after that."""
+        if len(self.having) > self.limit:
+            self.having.clear()
+        if len(self.without) > self.limit:
+            self.before, self.without = self.without, set()
+        # one difference after another: each looks up the runs that are left
+        new = runs.difference(self.without).difference(self.having)
+        held = self.compute(list(new.difference(self.before)))
+        self.having.update(held)
+        self.without.update(new.difference(held))
+
+
 @dataclass
 class ToxicityModel:
     """All that scoring needs; bounded by the number of examples and features."""
@@ -193,8 +254,11 @@ class ToxicityModel:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in ("_runs", "_known")}
 
-    def counts(self, text: str) -> Counter:
+    def counts(self, text: str) -> dict[int, int]:
         """How often each feature occurs in the text."""
+        return self.counts_of([text])[0]
+
+    def counts_of(self, texts: list[str]) -> list[dict[int, int]]:
         runs = self.__dict__.get("_runs")
         if runs is None:
             words = {n[1:]: i for n, i in self.names.items() if n[0] == "="}
@@ -204,20 +268,35 @@ class ToxicityModel:
             for edges, cut in ((starts, slice(_EDGES[0])), (ends, slice(-_EDGES[0], None))):
                 for edge in list(edges):
                     edges.setdefault(edge[cut], None)
-            runs = self._runs = Remembered(lambda run: self._selected(run, words, starts, ends), 250_000)
-        found: Counter = Counter()
-        seen = Counter(text.encode().split())
-        for features, times in zip(map(runs.__getitem__, seen), seen.values(), strict=True):
-            for feature in features:
-                found[feature] += times
-        runs.trim()
+            runs = self._runs = KnownRuns(lambda new: self._selected_of(new, words, starts, ends), 250_000)
+        seen = [Counter(text.encode().split()) for text in texts]
+        runs.learn(set().union(*seen))
+        counted = []
+        for times in seen:
+            found: dict[int, int] = {}
+            for run in times.keys() & runs.having.keys():
+                for feature in runs.having[run]:
+                    found[feature] = found.get(feature, 0) + times[run]
+            counted.append(found)
+        return counted
+
+    def _selected_of(self, runs: list[bytes], words: dict[str, int], starts: dict[str, int | None], ends: dict[str, int | None]) -> dict[bytes, tuple[int, ...]]:
+        """Features of those runs that hold some."""
+        first, last = _EDGES[0], -_EDGES[0]
+        found = {}
+        # runs hold no line breaks; most are one word without a selected edge
+        for run, text in zip(runs, b"\n".join(runs).decode().lower().split("\n"), strict=True) if runs else ():
+            core = text.strip(_SIGNS)
+            if core[:first] in starts or core[last:] in ends or core in words or not core.isalnum():
+                selected = self._selected(core, words, starts, ends)
+                if selected:
+                    found[run] = selected
         return found
 
-    def _selected(self, run: bytes, words: dict[str, int], starts: dict[str, int | None], ends: dict[str, int | None]) -> tuple[int, ...]:
+    def _selected(self, core: str, words: dict[str, int], starts: dict[str, int | None], ends: dict[str, int | None]) -> tuple[int, ...]:
         found = []
-        core = run.strip(_SIGNS)
-        # ASCII letters and digits between signs are one word
-        for word in (core.decode().lower(),) if core.isalnum() else _WORD.findall(run.decode().lower()):
+        # letters and digits between signs are one word
+        for word in (core,) if core.isalnum() else _WORD.findall(core):
             if word in words:
                 found.append(words[word])
             size = len(word)
@@ -233,29 +312,36 @@ class ToxicityModel:
         weights = np.array([1.0 + math.log(counts[f]) for f in features.tolist()]) * self.idf[features]
         return features, weights / np.sqrt(np.square(weights).sum()) if len(features) else weights
 
-    def vote(self, counts: dict[int, int], without: int = -1) -> tuple[float | None, np.ndarray, np.ndarray]:
-        """Share of toxic votes, None without evidence; the nearest examples and their cosines."""
-        found, cosines = (np.zeros(0, dtype=np.int64), np.zeros(0))
-        if counts and self.index is not None:
-            found, cosines = self.index.nearest(*self.vector(counts), self.neighbours, without)
-        if not len(found):
-            return None, found, cosines
-        weights = np.square(cosines)
-        return float(((weights * self.toxic[found]).sum() + 0.5 * self.base_rate) / (weights.sum() + 0.5)), found, cosines
+    def votes_of(self, counts: list[dict[int, int]], without: list[int] | None = None) -> list[tuple[float | None, np.ndarray, np.ndarray]]:
+        """For each text the share of toxic votes, None without evidence; the nearest examples and their cosines."""
+        nothing = (np.zeros(0, dtype=np.int64), np.zeros(0))
+        vectors = [self.vector(c) for c in counts]
+        searched = self.index.nearest_of(vectors, self.neighbours, without or [-1] * len(counts)) if self.index is not None else [nothing] * len(counts)
+        votes = []
+        for found, cosines in searched:
+            weights = np.square(cosines)
+            vote = float(((weights * self.toxic[found]).sum() + 0.5 * self.base_rate) / (weights.sum() + 0.5)) if len(found) else None
+            votes.append((vote, found, cosines))
+        return votes
 
     def pairs(self, text: str) -> bytes:
         """The value of ``COUNTS`` for a text."""
-        return np.array(sorted(self.counts(text).items()), dtype="<i4").tobytes()
-
-    def score(self, pairs: bytes) -> tuple[float, list[dict]]:
-        """Calibrated score and evidence of a text by its value of ``COUNTS``."""
-        known = self.__dict__.setdefault("_known", Remembered(self._scored, 20_000))
-        result = known[pairs]
-        known.trim()
-        return result
-
-    def _scored(self, pairs: bytes) -> tuple[float, list[dict]]:
-        vote, found, cosines = self.vote(dict(np.frombuffer(pairs, dtype="<i4").reshape(-1, 2).tolist()))
+        return self.pairs_of([text])[0]
+
+    def pairs_of(self, texts: list[str]) -> list[bytes]:
+        return [np.array(sorted(found.items()), dtype="<i4").tobytes() for found in self.counts_of(texts)]
+
+    def scores_of(self, pairs: list[bytes]) -> list[tuple[float, list[dict]]]:
+        """Calibrated score and evidence of texts by their values of ``COUNTS``; equal ones are searched for once."""
+        known = self.__dict__.setdefault("_known", {})
+        if len(known) > 20_000:
+            known.clear()
+        new = [x for x in dict.fromkeys(pairs) if x not in known]
+        votes = self.votes_of([dict(np.frombuffer(x, dtype="<i4").reshape(-1, 2).tolist()) for x in new])
+        known.update({x: self._scored(*vote) for x, vote in zip(new, votes, strict=True)})
+        return [known[x] for x in pairs]
+
+    def _scored(self, vote: float | None, found: np.ndarray, cosines: np.ndarray) -> tuple[float, list[dict]]:
         if vote is None:
             return self.without_evidence, []
         score = float(np.clip(np.interp(vote, *self.curve), 0.0, 1.0)) if self.curve and len(self.curve[0]) else self.base_rate
@@ -333,7 +419,7 @@ def count_features(docs: DataFrame, names: dict[str, int], kept: list[str]) -> D
         held = model.value
         for batch in batches:
             for part in batches_of(batch):
-                pairs = pa.array([held.pairs(t) for t in part.column(len(kept)).to_pylist()], pa.binary())
+                pairs = pa.array(held.pairs_of(part.column(len(kept)).to_pylist()), pa.binary())
                 yield pa.record_batch([*part.columns[:-1], pairs], part.schema.names)
 
     return stage(chosen.mapInArrow(run, schema), "feature-counts")
@@ -380,7 +466,7 @@ def fit_and_count(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        held = [shared.value.counts(t) for t in batch.column(1).to_pylist()]
+        held = shared.value.counts_of(batch.column(1).to_pylist())
         pairs = [[{"feature": f, "times": n} for f, n in c.items()] for c in held]
         kind = pa.list_(pa.struct([("feature", pa.int64()), ("times", pa.int64())]))
         return pa.record_batch([batch.column(0), batch.column(2), pa.array(pairs, kind)], ["id", "toxic", "counts"])
@@ -418,7 +504,7 @@ def _votes_without_self(spark: SparkSession, model: ToxicityModel, counts: list[
         held, vectors = shared.value
         for batch in batches:
             places = batch.column(0).to_pylist()
-            votes = [held.vote(vectors[i], i)[0] for i in places]
+            votes = [v for v, _, _ in held.votes_of([vectors[i] for i in places], places)]
             yield pa.record_batch([pa.array(places, pa.int64()), pa.array(votes, pa.float64())], ["place", "vote"])
 
     found = spark.range(len(counts)).mapInArrow(run, "place bigint, vote double").collect()
@@ -449,7 +535,8 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -
         held = shared.value
         for batch in batches:
             for part in batches_of(batch):
-                scored = [held.score(x if ready else held.pairs(x)) for x in part.column(len(names)).to_pylist()]
+                asked_for = part.column(len(names)).to_pylist()
+                scored = held.scores_of(asked_for if ready else held.pairs_of(asked_for))
                 scores = [s for s, _ in scored]
                 yield pa.record_batch(
                     [*part.columns[:-1], pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array([e for _, e in scored], kind)],
