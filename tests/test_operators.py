@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 
 from textmill.errors import InvalidPoint
 from textmill.functions.numeric import fingerprint
-from textmill.operators import aggregates, bayes, features, graph, knn, learners, metrics, search, splits, vote
+from textmill.operators import aggregates, bayes, catalog, features, graph, knn, learners, metrics, search, splits, vote
 from textmill.operators.ranking import rank_within, running_totals
 from textmill.plans import train
 from textmill.staging import stage
@@ -364,3 +364,28 @@ def test_pipeline_wrappers(posts, spark):
     assert MeanEmbedding(vectors=vectors).transform(posts).count() == 91
     fitted = SoftVote(steps=4).fit(probabilities(spark))
     assert fitted.transform(probabilities(spark)).count() == 8
+
+
+def test_documents_without_label_teach_nothing(spark):
+    rows = [("1", "a", "red red blue"), ("2", "b", "blue green"), ("3", "a", "red green"), ("4", None, "blue blue")]
+    data = spark.createDataFrame(rows, "id string, label string, text string")
+    counts = counts_of(data)
+    labelled = bayes.fit_nb(counts.filter("label is not null"), data.filter("label is not null"))
+    model = bayes.fit_nb(counts, data)
+    assert model.classes == labelled.classes == ["a", "b"]
+    assert sorted(model.weights.collect()) == sorted(labelled.weights.collect())
+
+
+def test_column_stats_of_texts_nan_and_signed_zeros(spark):
+    texts = catalog.column_stats(spark.createDataFrame([("x",), ("x",), (None,)], "t string")).first()
+    assert (texts["count"], texts.missing, texts.distinct, texts.top, texts.median) == (2, 1, 1, "x", None)
+    numbers = catalog.column_stats(spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (4.0,)], "v double")).first()
+    assert (numbers["count"], numbers.distinct, numbers.top, numbers.median) == (4, 3, "0.0", 0.0)
+    empty = catalog.column_stats(spark.createDataFrame([], "v double")).first()
+    assert (empty["count"], empty.median) == (0, None)
+
+
+def test_running_totals_of_nothing_and_nan(spark):
+    assert running_totals(spark.createDataFrame([], "s double, v long"), "s", ["v"]).collect() == []
+    rows = running_totals(spark.createDataFrame([(1.0, 1), (2.0, 2), (float("nan"), 4)], "s double, v long"), "s", ["v"], descending=False).collect()
+    assert sorted(r.cum_v for r in rows) == [1, 3, 7]

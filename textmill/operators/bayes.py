@@ -132,7 +132,11 @@ def fit_nb(
     vocab: DataFrame | None = None,
     **vocab_params,
 ) -> LinearModel:
-    """Fit on staged term counts (key, label, term, tf) and the documents (key, label) they come from."""
+    """Fit on staged term counts (key, label, term, tf) and the documents (key, label) they come from.
+
+    Documents without a label teach nothing and are left out.
+    """
+    counts, docs = counts.filter(F.col(label).isNotNull()), docs.filter(F.col(label).isNotNull())
     labels = distinct_labels(docs, label)
     n_docs = sum(n for _, n in labels)
     if vocab is None:

@@ -134,6 +134,9 @@ def field_paths(df: DataFrame) -> DataFrame:
 def value_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, value, number, n): how often each non-null value occurs, for several columns in one shuffle."""
     kinds = {f.name: f.dataType for f in df.schema}
+    # -0.0 and 0.0 are one value
+    zeros = [c for c in cols if isinstance(kinds[c], (T.FloatType, T.DoubleType))]
+    df = df.withColumns({c: F.when(F.col(c) == 0, F.lit(0).cast(kinds[c])).otherwise(F.col(c)) for c in zeros})
     cells = F.array(
         *[
             F.struct(
@@ -149,8 +152,8 @@ def value_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def medians(freq: DataFrame) -> DataFrame:
-    """(column, median): exact medians from a value frequency table, without gathering the values of a column."""
-    numbers = freq.filter(F.col("number").isNotNull()).groupBy("column", "number").agg(F.sum("n").alias("n"))
+    """(column, median): exact medians from a value frequency table, without gathering the values of a column; NaN is left out."""
+    numbers = freq.filter(F.col("number").isNotNull() & ~F.isnan("number")).groupBy("column", "number").agg(F.sum("n").alias("n"))
     numbers = stage(numbers, "numbers")
     totals = running_totals(numbers, "number", ["n"], groups=["column"], descending=False)
     sizes = numbers.groupBy("column").agg(F.sum("n").alias("size"))

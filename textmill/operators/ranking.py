@@ -54,12 +54,15 @@ def running_totals(
     """Running totals ``cum_<name>`` of the columns in ``sums`` by the order column.
 
     ``df`` must hold one row per (groups, order) value. Bucket edges are approximate quantiles of the order column, a
-    list of at most ``buckets`` numbers; they only decide the cut, not the result.
+    list of at most ``buckets`` numbers; they only decide the cut, not the result. NaN ranks above all numbers.
     """
     groups = list(groups)
     edges = sorted(set(df.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.005)))
-    splits = [float("-inf"), *edges, float("inf")]
-    cut = Bucketizer(splits=splits, inputCol=order, outputCol="_b").transform(df)
+    if edges:
+        splits = [float("-inf"), *edges, float("inf")]
+        cut = Bucketizer(splits=splits, inputCol=order, outputCol="_b", handleInvalid="keep").transform(df)
+    else:
+        cut = df.withColumn("_b", F.lit(0.0))
     direction = F.desc if descending else F.asc
     per_bucket = cut.groupBy(*groups, "_b").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     before = W.partitionBy(*groups).orderBy(direction("_b")).rowsBetween(W.unboundedPreceding, -1)
