@@ -167,3 +167,13 @@ def test_numbers(spark):
     assert one(spark, 12, numeric.fingerprint_bucket, "bigint") == 51
     classes = [one(spark, s, numeric.cost_class, "double") for s in (59.9, 60.0, 299.0, 300.0)]
     assert classes == ["TIME-OK", "TIME-ERROR1", "TIME-ERROR1", "TIME-ERROR2"]
+
+
+def test_character_codes(spark):
+    cases = {
+        "<p>a &#233; &#xE9; &#XE9;</p>": "a é é é", "<p>&#34;x&#x22; &#128512;</p>": '"x" 😀', "<p>&#38;lt; &amp;#60; &#x26;</p>": "&lt; &#60; &",
+        "<p>&#; &#x; &#xD800; &#1114112; &#99999999; &#65</p>": "&#; &#x; &#xD800; &#1114112; &#99999999; &#65", "<p>&#39;&#39;</p>": "''", "<p>none</p>": "none",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "html string")
+    for row in df.select("html", X.block_text(F.col("html"), "p").alias("got")).collect():
+        assert row.got == cases[row.html], row.html

@@ -46,10 +46,25 @@ def strip_invisible(html: Column) -> Column:
     return F.regexp_replace(F.coalesce(html, F.lit("")), INVISIBLE, "")
 
 
+def decode_references(text: Column) -> Column:
+    """``&#233;`` and ``&#xE9;`` to characters; ``&#38;`` becomes ``&amp;``, which is decoded last. Codes without a character stay."""
+
+    def one(part: Column) -> Column:
+        digits = F.regexp_extract(part, "^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
+        code = F.when(digits.rlike("^[xX]"), F.conv(F.substring(digits, 2, 6), 16, 10)).otherwise(digits).try_cast("int")
+        known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.when(code == 38, F.lit("&amp;")).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        return F.when(known, F.concat(char, F.substr(part, F.length(digits) + 2))).otherwise(F.concat(F.lit("&#"), part))
+
+    parts = F.split(text, "&#")
+    return F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), one), ""))
+
+
 def decode_entities(text: Column) -> Column:
-    """Named entities to characters, after tags are gone, so that ``&lt;p>`` stays text."""
+    """Named entities and character codes to characters, after tags are gone, so that ``&lt;p>`` stays text."""
+    coded = bind_once(text, lambda t: F.when(t.rlike("&#[0-9xX]"), decode_references(t)).otherwise(t))
     return bind_once(
-        text, lambda t: F.when(F.contains(t, F.lit("&")), replace_all(t, lexicon.HTML_ENTITIES.items())).otherwise(t)
+        coded, lambda t: F.when(F.contains(t, F.lit("&")), replace_all(t, lexicon.HTML_ENTITIES.items())).otherwise(t)
     )
 
 
