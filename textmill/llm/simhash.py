@@ -12,7 +12,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -267,15 +267,15 @@ def near_duplicates(df: DataFrame, id_column: str, text: str, different: int = M
     return marked.join(classes, "fingerprint").select(F.col("id").alias(id_column), text_of.alias("fingerprint"), "component_id")
 
 
-def drop_duplicates(df: DataFrame, id_column: str, text: str) -> DataFrame:
-    """The rows of ``df``, one of each component: the one with the smallest id.
+def drop_duplicates(df: DataFrame, id_column: str, text: str, groups: Callable = near_duplicates, marks: Callable = fingerprints) -> DataFrame:
+    """The rows of ``df``, one of each component of ``groups``: the one with the smallest id.
 
     Rows with a repeated id are judged each by its own component, and one of them stays where they agree; of rows without id,
     those stay whose component has no id at all, one of each fingerprint. Only ids of dropped rows are joined with the
     rows; texts move only if those are too many to be broadcast.
     """
     key = F.col(id_column)
-    found = stage(near_duplicates(df, id_column, text).withColumnRenamed(id_column, "__id"), "duplicate-groups")
+    found = stage(groups(df, id_column, text).withColumnRenamed(id_column, "__id"), "duplicate-groups")
     again = stage(found.where("__id IS NOT NULL").groupBy("__id").agg(F.count("*").alias("n")).where("n > 1").select("__id"), "repeated-ids")
     dropped = stage(found.where("__id <> component_id").join(again, "__id", "left_anti").select("__id"), "dropped-ids")
     kept = df.join(dropped, key == F.col("__id"), "left_anti")
@@ -283,7 +283,7 @@ def drop_duplicates(df: DataFrame, id_column: str, text: str) -> DataFrame:
         return kept
     odd = kept.where(key.isNull()).unionByName(kept.join(again, key == F.col("__id"), "left_semi"))
     whole = odd.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.col(text).alias("__text"))
-    marked = fingerprints(whole, "__row", "__text").withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+    marked = marks(whole, "__row", "__text").withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
     classes = found.select("fingerprint", "component_id").distinct()
     named = F.col("component_id").isNull() | (F.col(f"__row.{id_column}") == F.col("component_id"))
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("#"), "fingerprint"))
