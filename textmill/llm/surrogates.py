@@ -6,7 +6,8 @@
 2. A surrogate is drawn from a keyed hash of (kind, canonical form, attempt). It keeps length, case, separators, country
    codes, check digits, top-level domains, the script of a name and the gender of its title.
 3. Collision checks over all distinct entities: a surrogate that equals another entity's surrogate or any real entity of
-   its kind is drawn again with the next attempt, until all are distinct. Entities and drawings are tables; the few
+   its kind is drawn again with the next attempt, until all are distinct. After eight attempts e-mail addresses, secrets and
+   names grow, and late attempts for phone numbers take any country code, so that crowded or unchangeable forms end too. Entities and drawings are tables; the few
    entities beyond the first attempt reach their documents by a join on the entity and the document.
 4. The texts are rewritten in one pass that moves no rows unless a document holds an entity with a later attempt.
 """
@@ -99,7 +100,7 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     if "AKIA" in text:
         found += [(m.start(), m.end(), "access", m[0]) for m in _ACCESS.finditer(text)]
     if "=" in text or ":" in text:
-        found += [(m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text)]
+        found += [(m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text) if any(map(str.isalnum, m[1]))]  # else it is masked already
     found += [(m.start(2), m.end(2), f"name-{_GENDER[m[1]]}", m[2]) for m in _NAME.finditer(text) if m[2][0].isupper()] if _may_hold_name(text) else []
     found.sort(key=lambda x: (x[0], -x[1], x[2]))
     kept, end = [], 0
@@ -157,11 +158,12 @@ def _name_part(draw: _Draw, script: str, gender: str, syllables: int) -> str:
 def surrogate(kind: str, form: str, attempt: int = 0, key: bytes = KEY) -> str:
     """Canonical form of the surrogate of an entity."""
     draw = _Draw(key, kind, form, attempt)
+    wider = attempt // 8  # signs beyond the format when many draws were taken already
     if kind == "email":
         local, _, domain = form.rpartition("@")
         site, _, top = domain.rpartition(".")
         of_domain = _Draw(key, "domain", domain)  # one domain stays one domain
-        return "".join(map(draw.like, local)) + "@" + "".join(map(of_domain.like, site)) + "." + top
+        return "".join(map(draw.like, local)) + "".join(draw.like("a") for _ in range(wider)) + "@" + "".join(map(of_domain.like, site)) + "." + top
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "card":
@@ -172,7 +174,9 @@ def surrogate(kind: str, form: str, attempt: int = 0, key: bytes = KEY) -> str:
     if kind == "phone":
         if form[0] != "+":
             return f"{2 + draw.below(8)}{draw.below(100):02d}{2 + draw.below(8)}{draw.below(100):02d}{draw.below(10_000):04d}"
-        return form[:3] + "".join(str(draw.below(10)) for _ in form[3:])
+        if attempt < MAX_ATTEMPTS // 2:
+            return form[:3] + "".join(str(draw.below(10)) for _ in form[3:])
+        return f"+{1 + draw.below(9)}" + "".join(str(draw.below(10)) for _ in form[2:])  # any country code
     if kind == "account":
         body = form[:2] + "00" + "".join(map(draw.like, form[4:]))
         return f"{body[:2]}{98 - account_rest(body):02d}{body[4:]}"
@@ -180,13 +184,12 @@ def surrogate(kind: str, form: str, attempt: int = 0, key: bytes = KEY) -> str:
         return form[:4] + "".join(map(draw.like, form[4:]))
     if kind == "secret":
         if re.fullmatch("[0-9a-f]+", form):
-            return "".join("0123456789abcdef"[draw.below(16)] for _ in form)
-        return "".join(map(draw.like, form))
+            return "".join("0123456789abcdef"[draw.below(16)] for _ in range(len(form) + wider))
+        return "".join(map(draw.like, form)) + "".join(draw.like("a") for _ in range(wider))
     script = "cyrillic" if re.search("[а-яёА-ЯЁ]", form) else "latin"
     parts = re.split("([ -])", form)
-    wide = 2 + attempt // 8  # more syllables when many draws were taken already
     # the first of two names shows the gender; a family name does so in Cyrillic only
-    made = [p if p in " -" else _name_part(draw, script, kind[-1] if i == 0 or script == "cyrillic" else "n", wide) for i, p in enumerate(parts)]
+    made = [p if p in " -" else _name_part(draw, script, kind[-1] if i == 0 or script == "cyrillic" else "n", 2 + wider) for i, p in enumerate(parts)]
     return "".join(m if p in " -" else _cased(m, p) for m, p in zip(made, parts, strict=True))
 
 
