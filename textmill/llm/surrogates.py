@@ -1,10 +1,11 @@
 """Surrogates for personal data: keyed, of the same type and format, distinct, and the same wherever an entity returns.
 
 1. Detection: patterns with checks (Luhn, mod 97, ranges of octets) find e-mail addresses, phone and card numbers, IP
-   addresses, social security and bank account numbers, access keys, assigned secrets and titled person names. The entity
+   addresses, social security and bank account numbers, access keys, assigned secrets and titled person names, with the untitled mentions of their full
+   and family names in the same text. Surrogates are drawn for each part of a name, whatever its title or case. The entity
    behind a mention is its canonical form: two spellings of one phone number are one entity.
 2. A surrogate is drawn from a keyed hash of (kind, canonical form, attempt). It keeps length, case, separators, country
-   codes, check digits, top-level domains, the script of a name and the gender of its title.
+   codes, check digits, top-level domains, the script and case of a name.
 3. Collision checks over all distinct entities: a surrogate that equals another entity's surrogate or any real entity of
    its kind is drawn again with the next attempt, until all are distinct. After eight attempts e-mail addresses, secrets and
    names grow, and late attempts for phone numbers take any country code, so that crowded or unchangeable forms end too. Entities and drawings are tables; the few
@@ -50,6 +51,7 @@ _TITLES = {
 }
 _GENDER = {title: gender for gender, titles in _TITLES.items() for title in titles}
 _NAME = re.compile(rf"(?<!\w)({'|'.join(re.escape(t) for t in sorted(_GENDER, key=len, reverse=True))}) ([^\W\d_a-zа-яё][^\W\d_]+(?:[ -][^\W\d_a-zа-яё][^\W\d_]+)?)(?!\w)")
+_WORDS = re.compile(r"(?<!\w)[^\W\d_]+(?!\w)")
 
 
 def _digits(text: str) -> str:
@@ -101,7 +103,9 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
         found += [(m.start(), m.end(), "access", m[0]) for m in _ACCESS.finditer(text)]
     if "=" in text or ":" in text:
         found += [(m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text) if any(map(str.isalnum, m[1]))]  # else it is masked already
-    found += [(m.start(2), m.end(2), f"name-{_GENDER[m[1]]}", m[2]) for m in _NAME.finditer(text) if m[2][0].isupper()] if _may_hold_name(text) else []
+    if _may_hold_name(text):
+        titled = [(m.start(2), m.end(2), f"name-{_GENDER[m[1]]}", m[2]) for m in _NAME.finditer(text) if m[2][0].isupper()]
+        found += titled + list(_untitled(text, titled))
     found.sort(key=lambda x: (x[0], -x[1], x[2]))
     kept, end = [], 0
     for mention in found:
@@ -115,6 +119,31 @@ def _may_hold_name(text: str) -> bool:
     return any(f"{title} " in text for title in _GENDER)
 
 
+def _untitled(text: str, titled: list[tuple[int, int, str, str]]) -> Iterator[tuple[int, int, str, str]]:
+    """Other mentions of the full and family names that a title has shown in this text, with the kind of the first one."""
+    known: dict[str, str] = {}
+    for _, _, kind, name in titled:
+        for form in (name, name.split(" ")[-1]):
+            known.setdefault(form, kind)
+    at = {start for start, *_ in titled}
+    for m in _WORDS.finditer(text) if known else ():
+        # a full name is one or two words joined by a sign; the longer one wins
+        pair = _WORDS.match(text, m.end() + 1) if text[m.end() : m.end() + 1] in (" ", "-") else None
+        for form in (text[m.start() : pair.end()] if pair else "", m[0]):
+            if form in known and m.start() not in at:
+                yield m.start(), m.start() + len(form), known[form], form
+                break
+
+
+def _parts(name: str) -> list[str]:
+    return re.split("[ -]", name)
+
+
+def entities_of(kind: str, form: str) -> list[tuple[str, str]]:
+    """What surrogates are drawn for: the parts of a name, whatever its title and case, else the entity itself."""
+    return [("name", p.lower()) for p in _parts(form)] if kind.startswith("name-") else [(kind, form)]
+
+
 # -- surrogates ----------------------------------------------------------------------------------------------------------
 
 
@@ -186,6 +215,9 @@ def surrogate(kind: str, form: str, attempt: int = 0, key: bytes = KEY) -> str:
         if re.fullmatch("[0-9a-f]+", form):
             return "".join("0123456789abcdef"[draw.below(16)] for _ in range(len(form) + wider))
         return "".join(map(draw.like, form)) + "".join(draw.like("a") for _ in range(wider))
+    if kind == "name":  # one part of a name in small letters; its own ending, not a title, chooses the ending
+        script = "cyrillic" if re.search("[а-яё]", form) else "latin"
+        return _name_part(draw, script, "f" if form[-1] in "aая" else "m", 2 + wider)
     script = "cyrillic" if re.search("[а-яёА-ЯЁ]", form) else "latin"
     parts = re.split("([ -])", form)
     # the first of two names shows the gender; a family name does so in Cyrillic only
@@ -220,8 +252,14 @@ def rewrite(text: str, later: dict[tuple[str, str], int] | None = None, key: byt
     """The text with surrogates and the number of mentions; ``later``: entities whose attempt is not the first."""
     out, end, mentions = [], 0, find_entities(text)
     for start, stop, kind, form in mentions:
-        attempt = (later or {}).get((kind, form), 0)
-        new = surrogate(kind, form, attempt, key) if attempt else _first_attempt(kind, form, key)
+        made = []
+        for entity in entities_of(kind, form):
+            attempt = (later or {}).get(entity, 0)
+            made.append(surrogate(*entity, attempt, key) if attempt else _first_attempt(*entity, key))
+        new = made[0]
+        if kind.startswith("name-"):
+            fresh = iter(made)
+            new = "".join(p if p in " -" else _cased(next(fresh), p) for p in re.split("([ -])", form))
         out += [text[end:start], render(text[start:stop], kind, form, new)]
         end = stop
     return "".join([*out, text[end:]]), len(mentions)
@@ -231,14 +269,14 @@ def rewrite(text: str, later: dict[tuple[str, str], int] | None = None, key: byt
 
 
 def mentions(df: DataFrame, id_column: str, text: str) -> DataFrame:
-    """``row_id``, ``kind``, ``form``: the distinct entities of every row."""
+    """``row_id``, ``kind``, ``form``: the distinct entities of every row; of a name its parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in batches_of(batch):
                 rows, kinds, forms = [], [], []
                 for i, value in enumerate(part.column(1).to_pylist()):
-                    for kind, form in sorted({m[2:] for m in find_entities(value)}):
+                    for kind, form in sorted({e for m in find_entities(value) for e in entities_of(*m[2:])}):
                         rows.append(i)
                         kinds.append(kind)
                         forms.append(form)
