@@ -272,24 +272,26 @@ def drop_duplicates(df: DataFrame, id_column: str, text: str, groups: Callable =
 
     Rows with a repeated id are judged each by its own component, and one of them stays where they agree; of rows without id,
     those stay whose component has no id at all, one of each fingerprint. Only ids of dropped rows are joined with the
-    rows; texts move only if those are too many to be broadcast.
+    rows; texts move only if those are too many to be broadcast. Columns of ``df`` may have any names.
     """
-    key = F.col(id_column)
-    found = stage(groups(df, id_column, text).withColumnRenamed(id_column, "__id"), "duplicate-groups")
-    again = stage(found.where("__id IS NOT NULL").groupBy("__id").agg(F.count("*").alias("n")).where("n > 1").select("__id"), "repeated-ids")
-    dropped = stage(found.where("__id <> component_id").join(again, "__id", "left_anti").select("__id"), "dropped-ids")
-    kept = df.join(dropped, key == F.col("__id"), "left_anti")
-    if again.isEmpty() and found.where("__id IS NULL").isEmpty():
+    # a name that no column of df has, however it is written
+    spare = "__" + "_".join(["dropped", *("x" for c in df.columns if c.lower().startswith("__dropped"))])
+    key, gone = F.col(f"`{id_column}`"), f"{spare}_id"
+    found = stage(groups(df, id_column, text).withColumnRenamed(id_column, gone), "duplicate-groups")
+    again = stage(found.where(F.col(gone).isNotNull()).groupBy(gone).agg(F.count("*").alias("n")).where("n > 1").select(gone), "repeated-ids")
+    dropped = stage(found.where(F.col(gone) != F.col("component_id")).join(again, gone, "left_anti").select(gone), "dropped-ids")
+    kept = df.join(dropped, key == dropped[gone], "left_anti")
+    if again.isEmpty() and found.where(F.col(gone).isNull()).isEmpty():
         return kept
-    odd = kept.where(key.isNull()).unionByName(kept.join(again, key == F.col("__id"), "left_semi"))
-    whole = odd.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.col(text).alias("__text"))
-    marked = marks(whole, "__row", "__text").withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+    odd = kept.where(key.isNull()).unionByName(kept.join(again, key == again[gone], "left_semi"))
+    whole = odd.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
+    marked = marks(whole, "row", "text").withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
     classes = found.select("fingerprint", "component_id").distinct()
-    named = F.col("component_id").isNull() | (F.col(f"__row.{id_column}") == F.col("component_id"))
+    named = F.col("component_id").isNull() | (F.col(f"row.`{id_column}`") == F.col("component_id"))
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("#"), "fingerprint"))
-    single = marked.join(classes, "fingerprint").where(named).withColumn("__group", group).dropDuplicates(["__group"])
-    plain = kept.where(key.isNotNull()).join(again, key == F.col("__id"), "left_anti")
-    return plain.unionByName(single.select("__row.*"))
+    single = marked.join(classes, "fingerprint").where(named).withColumn("group", group).dropDuplicates(["group"])
+    plain = kept.where(key.isNotNull()).join(again, key == again[gone], "left_anti")
+    return plain.unionByName(single.select("row.*"))
 
 
 def document_duplicates(spark: SparkSession, sf: str) -> DataFrame:
