@@ -2,13 +2,13 @@
 
 import base64
 import glob
+import gzip
 import hashlib
 import io
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
-import pytest
 from pyspark.sql import functions as F
 
 from textmill.llm import merkle, warc
@@ -160,8 +160,8 @@ def test_reader_frames_every_record():
     found = parse(b"".join(members))
     assert [r["payload"].decode() for r in found] == bodies and all(r["digest_ok"] for r in found)
     assert [r["offset"] for r in found] == [sum(map(len, members[:i])) for i in range(len(members))]
-    # members written by the gzip module, and a member with random bytes that deflate cannot shorten
-    again = b"".join(__import__("gzip").compress(zlib.decompress(m, 31)) for m in members)
+    # members written by another packer
+    again = b"".join(gzip.compress(zlib.decompress(m, 31)) for m in members)
     assert [r["payload"].decode() for r in parse(again)] == bodies
 
 
@@ -188,11 +188,8 @@ def test_reader_passes_damage():
     assert [r["digest_ok"] for r in parse(good[0] + changed)] == [True, False]
 
 
-def test_wrong_digest_ends_the_query(spark, tmp_path):
-    raw = zlib.decompress(warc.page_record(1, "u", "words"), 31).replace(b"words", b"swords"[1:], 1).replace(b"\r\n\r\nwords", b"\r\n\r\nwordy", 1)
-    assert raw.endswith(b"\r\n\r\n")
+def test_wrong_digest_is_told(spark, tmp_path):
+    raw = zlib.decompress(warc.page_record(1, "u", "words"), 31).replace(b"words", b"wordy")
     (tmp_path / "a.warc.gz").write_bytes(zlib.compress(raw, wbits=31))
     archives = spark.createDataFrame([(f"file://{tmp_path}/a.warc.gz",), (None,)], "archive string")
     assert [r.digest_ok for r in warc.read_archives(archives).collect()] == [False]
-    with pytest.raises(ValueError):
-        warc.digest_text("not bytes") if False else warc._length({})

@@ -350,7 +350,7 @@ PAGE_ARCHIVES_SQL = """
 WITH pages_of AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
 firsts AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM pages_of)
 SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
-       list_aggregate(list_transform(range(32), i -> substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       list_aggregate(list_transform(range(32), lambda i: substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            1 + CAST((CAST('0x' || substring(hex, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - i % 4 * 5 AS INTEGER)) & 31 AS BIGINT), 1)), 'string_agg', '') AS payload_digest,
        CASE WHEN page_id IS NOT DISTINCT FROM coalesce(first, page_id) THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
