@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.staging import stage
+
 #: Share of texts per Arrow batch; texts are long, so batches are cut by rows as well as by bytes.
 TEXTS_PER_STEP = 256
 
@@ -64,3 +66,20 @@ class Remembered(dict):
         if len(self) > self.limit:
             self.old = dict(self)
             self.clear()
+
+
+#: A key that holds more than this part of the rows is looked up by broadcast; there are fewer such keys than parts.
+HOT_PARTS = 1024
+
+
+def lookup(rows: DataFrame, key: str, values: DataFrame) -> DataFrame:
+    """Inner join of ``rows`` with ``values``, which has at most one row for each ``key``.
+
+    Frequent keys, fewer than ``HOT_PARTS`` by the share that they must hold, are joined by broadcast; the rows of all other keys
+    are joined as Catalyst likes, and no key of them is hot. ``rows`` is read three times, so it should be a written table.
+    """
+    uses = stage(rows.groupBy(key).agg(F.count("*").alias("uses")), "key-uses")
+    hot = F.broadcast(uses.where(F.col("uses") * HOT_PARTS > uses.agg(F.sum("uses")).scalar()).select(key))
+    often = F.broadcast(values.join(hot, key, "left_semi"))
+    seldom = rows.join(hot, key, "left_anti").join(values, key)
+    return rows.join(often, key).unionByName(seldom)
