@@ -4,8 +4,8 @@
    id 0 between pieces. Word counts are summed over the shards; rarer words cannot be in a phrase and become breaks.
 2. Every shard gets a bidirectional FM-index: the Burrows-Wheeler transforms of its ids and of the reversed ids, sorted as
    deep as the longest phrase. An interval of the one and its twin in the other stand for a phrase; its size is the count.
-3. Intervals of words are extended to the right, which gives the pairs with their counts. Counts are summed over the shards, and
-   each shard learns which of its pairs are frequent everywhere.
+3. Intervals of words are extended to the right, which gives the pairs with their counts. A shard deals them out by hash into
+   packed lists, one a bucket; a bucket sums its lists, and each shard learns which of its pairs are frequent everywhere.
 4. Intervals of these pairs are extended to the left and then to the right, as long as the new end is a frequent pair; the
    counts of the longer phrases are summed over the shards. A phrase is never more frequent than a part of it, so none is lost.
 5. Scores and the rule for parts of longer phrases are joins on the table of counts.
@@ -30,12 +30,31 @@ MIN_COUNT = 30
 MAX_WORDS = 4
 #: Words after which a shard is closed; an index takes some 60 bytes a word while it is built.
 SHARD_WORDS = 1 << 21
+#: Words for which there is one bucket of pairs; the number of buckets follows the input, so that a bucket fits into a task.
+BUCKET_WORDS = 1 << 18
 #: Rows of an Arrow batch that a shard returns.
 _ROWS = 1 << 18
 _BREAKS = re.compile(rb"[.,;:!?\x0a-\x0d]+")
 _BREAK = b"."  # never part of a word
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 as compressed planes of bytes."""
+    raw = values.astype("<u8").view(np.uint8).reshape(-1, 8)
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(raw[:, :width].T).tobytes()
+    return len(values).to_bytes(8, "little") + bytes([width]) + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes | pa.Buffer) -> np.ndarray:
+    view = memoryview(packed)
+    size, width = int.from_bytes(view[:8], "little"), view[8]
+    raw = np.zeros((size, 8), dtype=np.uint8)
+    if size:
+        raw[:, :width] = np.frombuffer(pa.decompress(pa.py_buffer(view[9:]), decompressed_size=size * width, codec="zstd"), dtype=np.uint8).reshape(width, size).T
+    return raw.view("<i8").reshape(-1)
+
+
 # -- shards --------------------------------------------------------------------------------------------------------------
 
 
@@ -62,13 +81,13 @@ class _Shard:
         counts = np.bincount(ids, minlength=len(self.words))
         columns = [
             pa.array([number], pa.int64()), pa.array([lang]), pa.array([list(self.words)[1:]], pa.list_(pa.binary())),
-            pa.array([counts[1:]], pa.list_(pa.int64())), pa.array([ids.tobytes()], pa.binary()), pa.array([int(counts[1:].sum())], pa.int64()),
+            pa.array([counts[1:]], pa.list_(pa.int64())), pa.array([pack(ids)], pa.binary()), pa.array([int(counts[1:].sum())], pa.int64()),
         ]
         return pa.record_batch(columns, ["shard", "lang", "words", "counts", "ids", "n"])
 
 
 def shards_of(df: DataFrame, lang: str, text: str, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """``shard``, ``lang``, ``words``, ``counts``, ``ids`` (int32, 0 between pieces), ``n``; a shard holds one language."""
+    """``shard``, ``lang``, ``words``, ``counts``, ``ids`` (packed, 0 between pieces), ``n``; a shard holds one language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, _Shard] = {}
@@ -206,36 +225,83 @@ def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1)
-            ids = np.frombuffer(row.column("ids")[0].as_buffer(), dtype=np.int32)
+            ids = unpack(row.column("ids")[0].as_buffer())
             coded = row.column("coded")[0].values
             place, names = np.asarray(coded.field("place")).astype(np.int64) + 1, np.asarray(coded.field("id")).astype(np.int64)
-            symbol_of = np.zeros(max(int(ids.max()), int(place.max())) + 1, dtype=np.int64)
+            symbol_of = np.zeros(max(int(ids.max()), int(place.max())) + 1, dtype=np.int32)
             order = np.argsort(names)
             symbol_of[place[order]] = np.arange(1, len(names) + 1)
             ids = _without_repeated_breaks(symbol_of[ids])
-            sides = [transform(x).tobytes() for x in (ids, ids[::-1])]
+            sides = [pack(transform(x)) for x in (ids, ids[::-1])]
             yield pa.record_batch([row.column("shard"), pa.array([names[order]], pa.list_(pa.int64())), *[pa.array([x], pa.binary()) for x in sides]], ["shard", "names", "forward", "backward"])
 
 
 def _loaded(row: pa.RecordBatch) -> tuple[Index, np.ndarray]:
     names = np.concatenate([[0], _ints(row.column("names"), 0)])
-    forward, backward = (np.frombuffer(row.column(x)[0].as_buffer(), dtype=np.int32) for x in ("forward", "backward"))
+    forward, backward = (unpack(row.column(x)[0].as_buffer()).astype(np.int32) for x in ("forward", "backward"))
     return Index(forward, backward, len(names) - 1), names
 
 
-def _sliced(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(next(iter(columns.values()))), _ROWS):
-        yield pa.record_batch([pa.array(x[at : at + _ROWS]) for x in columns.values()], list(columns))
+def _pair_rows(buckets: int):
+    """Packed lists of the pairs of a shard, one row for each bucket that holds any."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                index, names = _loaded(row)
+                first, second, _, size = pairs_of(index)
+                first, second = names[first], names[second]
+                mixed = (first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (second.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+                bucket = (((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                found, start = np.unique(bucket[order], return_index=True)
+                lists = ([], [], [])
+                for part in np.split(order, start[1:]) if len(order) else []:
+                    # the pairs come in the order of their first words
+                    for held, values in zip(lists, (np.diff(first[part], prepend=0), second[part], size[part]), strict=True):
+                        held.append(pack(values))
+                shard = np.full(len(found), row.column("shard")[0].as_py(), dtype=np.int64)
+                yield pa.record_batch([pa.array(found), pa.array(shard), *[pa.array(x, pa.binary()) for x in lists]], ["bucket", "shard", "first", "second", "count"])
+
+    return run
+
+
+_FREQUENT = "shard bigint, firsts binary, seconds binary, first bigint, second bigint, f bigint"
+
+
+def _merged_pairs(min_count: int):
+    """The lists of a bucket summed: a row for each frequent pair, and for each shard the list of its frequent pairs."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        lists = [[unpack(x.as_buffer()) for x in rows.column(name)] for name in ("first", "second", "count")]
+        first = np.concatenate([np.cumsum(x) for x in lists[0]])
+        second, count = np.concatenate(lists[1]), np.concatenate(lists[2])
+        order = np.lexsort((second, first))
+        new = np.concatenate([[True], (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)])
+        start = np.flatnonzero(new)
+        total = np.add.reduceat(count[order], start)
+        often = total >= min_count
+        wanted = np.zeros(len(first), dtype=bool)
+        wanted[order] = often[np.cumsum(new) - 1]
+        shards, parts, at = [], ([], []), 0
+        for shard, size in zip(rows.column("shard").to_pylist(), map(len, lists[0]), strict=True):
+            keep = np.flatnonzero(wanted[at : at + size]) + at
+            at += size
+            if len(keep):
+                shards.append(shard)
+                parts[0].append(pack(np.diff(first[keep], prepend=0)))
+                parts[1].append(pack(second[keep]))
+        head = order[start[often]]
+        none, empty = pa.nulls(len(shards), pa.int64()), pa.nulls(len(head), pa.binary())
+        columns = [
+            [pa.array(shards, pa.int64()), pa.nulls(len(head), pa.int64())], [pa.array(parts[0], pa.binary()), empty], [pa.array(parts[1], pa.binary()), empty],
+            [none, pa.array(first[head])], [none, pa.array(second[head])], [none, pa.array(total[often])],
+        ]
+        return pa.table([pa.chunked_array(x) for x in columns], [x.split()[0] for x in _FREQUENT.split(", ")])
 
-def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            index, names = _loaded(row)
-            first, second, _, size = pairs_of(index)
-            shard = np.full(len(first), row.column("shard")[0].as_py(), dtype=np.int64)
-            yield from _sliced({"shard": shard, "first": names[first], "second": names[second], "count": size})
+    return run
 
 
 def _longer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +310,9 @@ def _longer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = batch.slice(i, 1)
             index, names = _loaded(row)
             pairs = row.column("pairs")[0].values
-            ends = [np.searchsorted(names, np.asarray(pairs.field(x)).astype(np.int64)) for x in ("first", "second")]
+            firsts = np.concatenate([np.cumsum(unpack(x.as_buffer())) for x in pairs.field("firsts")])
+            seconds = np.concatenate([unpack(x.as_buffer()) for x in pairs.field("seconds")])
+            ends = [np.searchsorted(names, x) for x in (firsts, seconds)]
             for phrase, size in longer_of(index, np.unique(ends[0] * (index.symbols + 1) + ends[1])):
                 flat = pa.array(names[phrase].ravel())
                 words = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, phrase.shape[1]), pa.int32()), flat)
@@ -252,6 +320,15 @@ def _longer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.record_batch([words[at : at + _ROWS], pa.array(size[at : at + _ROWS])], ["phrase", "count"])
 
 
+def _numbered(words: DataFrame) -> DataFrame:
+    """``words`` with ``id``, gapless from 1, the most frequent first: place in its partition plus the rows of earlier ones."""
+    placed = stage(words.orderBy(F.desc("f")).withColumn("at", F.monotonically_increasing_id()), "sorted-words")
+    part, place = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))  # one row a partition
+    before = sizes.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return placed.withColumn("part", part).join(before, "part").select(*words.columns, (F.col("before") + place + 1).alias("id"))
+
+
 def phrase_counts(df: DataFrame, lang: str, text: str, min_count: int = MIN_COUNT, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Counts of all phrases of 1 to ``MAX_WORDS`` words with at least ``min_count`` occurrences in their language.
 
@@ -261,24 +338,26 @@ def phrase_counts(df: DataFrame, lang: str, text: str, min_count: int = MIN_COUN
     shards = stage(shards_of(df, lang, text, shard_words), "phrase-shards")
     totals = shards.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
     entry = F.posexplode(F.arrays_zip("words", "counts")).alias("place", "entry")
-    entries = shards.select("shard", "lang", entry).select("shard", "lang", "place", "entry.words", "entry.counts").withColumnRenamed("words", "word")
-    frequent = entries.groupBy("lang", "word").agg(F.sum("counts").alias("f")).where(F.col("f") >= min_count)
-    frequent = stage(frequent.withColumn("id", F.monotonically_increasing_id() + 1), "frequent-words")
+    entries = shards.select("shard", "lang", entry).select("shard", "lang", "place", F.col("entry.words").alias("word"), F.col("entry.counts").alias("count"))
+    # a word comes once a shard, so the rows of a word are few; its count and its places move together
+    spread = entries.withColumn("f", F.sum("count").over(W.partitionBy("lang", "word"))).where(F.col("f") >= min_count)
+    spread = stage(spread.select("shard", "lang", "word", "place", "f"), "frequent-entries")
+    frequent = stage(_numbered(spread.groupBy("lang", "word").agg(F.max("f").alias("f"))), "frequent-words")
 
-    coded = entries.select("shard", "lang", "word", "place").join(frequent.select("lang", "word", "id"), ["lang", "word"])
+    coded = spread.select("shard", "lang", "word", "place").join(frequent.select("lang", "word", "id"), ["lang", "word"])
     coded = coded.groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("coded"))
     index = stage(
         shards.select("shard", "ids").join(coded, "shard").select("shard", "ids", "coded")
         .mapInArrow(_index_rows, "shard bigint, names array<bigint>, forward binary, backward binary"), "phrase-index",
     )
-    pairs = index.mapInArrow(_pair_rows, "shard bigint, first bigint, second bigint, count bigint")
-    everywhere = F.sum("count").over(W.partitionBy("first", "second"))
-    pairs = stage(pairs.withColumn("f", everywhere).where(F.col("f") >= min_count).select("shard", "first", "second", "f"), "frequent-pairs")
+    words = shards.agg(F.sum("n").alias("n")).first()["n"] or 0
+    lists = index.mapInArrow(_pair_rows(-(-words // BUCKET_WORDS) or 1), "bucket bigint, shard bigint, first binary, second binary, count binary")
+    pairs = stage(lists.groupBy("bucket").applyInArrow(_merged_pairs(min_count), _FREQUENT), "frequent-pairs")
 
-    wanted = pairs.groupBy("shard").agg(F.collect_list(F.struct("first", "second")).alias("pairs"))
+    wanted = pairs.where("shard IS NOT NULL").groupBy("shard").agg(F.collect_list(F.struct("firsts", "seconds")).alias("pairs"))
     longer = index.join(wanted, "shard").select("shard", "names", "forward", "backward", "pairs").mapInArrow(_longer_rows, "phrase array<bigint>, count bigint")
     longer = longer.groupBy("phrase").agg(F.sum("count").alias("f")).where(F.col("f") >= min_count)
-    two = pairs.groupBy("first", "second").agg(F.max("f").alias("f")).select(F.array("first", "second").alias("phrase"), "f")
+    two = pairs.where("shard IS NULL").select(F.array("first", "second").alias("phrase"), "f")
     one = frequent.select(F.array("id").alias("phrase"), "f")
     return totals, frequent, stage(one.unionByName(two).unionByName(longer), "phrase-counts")
 
