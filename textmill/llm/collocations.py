@@ -29,11 +29,9 @@ from textmill.staging import stage
 MIN_COUNT = 30
 MAX_WORDS = 4
 #: Words after which a shard is closed; an index takes some 60 bytes a word while it is built.
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
 #: Words for which there is one bucket of pairs; the number of buckets follows the input, so that a bucket fits into a task.
 BUCKET_WORDS = 1 << 18
-#: Rows of an Arrow batch that a shard returns.
-_ROWS = 1 << 18
 _BREAKS = re.compile(rb"[.,;:!?\x0a-\x0d]+")
 _BREAK = b"."  # never part of a word
 
@@ -141,8 +139,8 @@ class Index:
         self.first = np.concatenate([[0], np.cumsum(np.bincount(forward, minlength=symbols + 1))])
         self.steps = []
         for side in self.sides:
-            step = np.empty(len(side), dtype=np.int64)
-            step[np.argsort(side, kind="stable")] = np.arange(len(side))
+            step = np.empty(len(side), dtype=np.int32 if len(side) < 1 << 31 else np.int64)
+            step[np.argsort(side, kind="stable")] = np.arange(len(side), dtype=step.dtype)
             self.steps.append(step)
 
     def words(self) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
@@ -170,7 +168,7 @@ class Index:
         grown = np.diff(np.append(start, len(key)))
         head = order[start]
         above, symbol = parent[head], bwt[at[head]]
-        own, twin = step[at[head]], lows[not right][above] + start - begins[above]
+        own, twin = step[at[head]].astype(np.int64), lows[not right][above] + start - begins[above]
         keep = symbol > 0
         both = [twin[keep], own[keep]] if right else [own[keep], twin[keep]]
         return above[keep], symbol[keep].astype(np.int64), both, grown[keep]
@@ -242,84 +240,101 @@ def _loaded(row: pa.RecordBatch) -> tuple[Index, np.ndarray]:
     return Index(forward, backward, len(names) - 1), names
 
 
+_LISTS = "size int, bucket bigint, shard bigint, words array<binary>, count binary"
+
+
+def _dealt(phrases: np.ndarray, counts: np.ndarray, shard: int, buckets: int) -> pa.RecordBatch:
+    """Phrases (one row of word ids each) of a shard as packed lists, one row for each bucket that holds any."""
+    mixed = np.zeros(len(phrases), dtype=np.uint64)
+    for word in phrases.T:
+        mixed = (mixed ^ word.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    bucket = ((mixed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((phrases[:, 0], bucket))
+    found, start = np.unique(bucket[order], return_index=True)
+    words, sizes = [], []
+    for part in np.split(order, start[1:]) if len(order) else []:
+        inside = phrases[part]
+        words.append([pack(np.diff(inside[:, 0], prepend=0)), *map(pack, inside.T[1:])])
+        sizes.append(pack(counts[part]))
+    columns = [
+        pa.array(np.full(len(found), phrases.shape[1], dtype=np.int32)), pa.array(found), pa.array(np.full(len(found), shard, dtype=np.int64)),
+        pa.array(words, pa.list_(pa.binary())), pa.array(sizes, pa.binary()),
+    ]
+    return pa.record_batch(columns, ["size", "bucket", "shard", "words", "count"])
+
+
+def _listed(words: pa.ListScalar) -> np.ndarray:
+    """The phrases of one packed list."""
+    held = [unpack(x.as_buffer()) for x in words.values]
+    return np.stack([np.cumsum(held[0]), *held[1:]], axis=1)
+
+
+def _summed(phrases: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct phrases, their counts, and the place of each row's phrase among them."""
+    order = np.lexsort(phrases.T[::-1])
+    ordered = phrases[order]
+    new = np.concatenate([[True], (ordered[1:] != ordered[:-1]).any(axis=1)])
+    start, place = np.flatnonzero(new), np.empty(len(order), dtype=np.int64)
+    place[order] = np.cumsum(new) - 1
+    return ordered[start], np.add.reduceat(counts[order], start), place
+
+
 def _pair_rows(buckets: int):
-    """Packed lists of the pairs of a shard, one row for each bucket that holds any."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                index, names = _loaded(row)
+                first, second, _, counts = pairs_of(index)
+                yield _dealt(np.stack([names[first], names[second]], axis=1), counts, row.column("shard")[0].as_py(), buckets)
+
+    return run
+
 
+def _longer_rows(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 index, names = _loaded(row)
-                first, second, _, size = pairs_of(index)
-                first, second = names[first], names[second]
-                mixed = (first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (second.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-                bucket = (((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                found, start = np.unique(bucket[order], return_index=True)
-                lists = ([], [], [])
-                for part in np.split(order, start[1:]) if len(order) else []:
-                    # the pairs come in the order of their first words
-                    for held, values in zip(lists, (np.diff(first[part], prepend=0), second[part], size[part]), strict=True):
-                        held.append(pack(values))
-                shard = np.full(len(found), row.column("shard")[0].as_py(), dtype=np.int64)
-                yield pa.record_batch([pa.array(found), pa.array(shard), *[pa.array(x, pa.binary()) for x in lists]], ["bucket", "shard", "first", "second", "count"])
+                pairs = np.searchsorted(names, np.concatenate([_listed(x) for x in row.column("pairs")[0].values]))
+                for phrases, counts in longer_of(index, np.unique(pairs[:, 0] * (index.symbols + 1) + pairs[:, 1])):
+                    yield _dealt(names[phrases], counts, row.column("shard")[0].as_py(), buckets)
 
     return run
 
 
-_FREQUENT = "shard bigint, firsts binary, seconds binary, first bigint, second bigint, f bigint"
+_FREQUENT = "phrase array<bigint>, f bigint, shard bigint, words array<binary>"
 
 
-def _merged_pairs(min_count: int):
-    """The lists of a bucket summed: a row for each frequent pair, and for each shard the list of its frequent pairs."""
+def _merged(min_count: int, tell_shards: bool):
+    """The lists of a bucket summed: a row for each frequent phrase, and for each shard, if wanted, the list of those that it holds."""
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
-        lists = [[unpack(x.as_buffer()) for x in rows.column(name)] for name in ("first", "second", "count")]
-        first = np.concatenate([np.cumsum(x) for x in lists[0]])
-        second, count = np.concatenate(lists[1]), np.concatenate(lists[2])
-        order = np.lexsort((second, first))
-        new = np.concatenate([[True], (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)])
-        start = np.flatnonzero(new)
-        total = np.add.reduceat(count[order], start)
-        often = total >= min_count
-        wanted = np.zeros(len(first), dtype=bool)
-        wanted[order] = often[np.cumsum(new) - 1]
-        shards, parts, at = [], ([], []), 0
-        for shard, size in zip(rows.column("shard").to_pylist(), map(len, lists[0]), strict=True):
-            keep = np.flatnonzero(wanted[at : at + size]) + at
-            at += size
+        lists = [_listed(x) for x in rows.column("words")]
+        phrases, totals, place = _summed(np.concatenate(lists), np.concatenate([unpack(x.as_buffer()) for x in rows.column("count")]))
+        often = totals >= min_count
+        shards, words, at = [], [], 0
+        for shard, held in zip(rows.column("shard").to_pylist(), lists, strict=True) if tell_shards else ():
+            keep = held[often[place[at : at + len(held)]]]
+            at += len(held)
             if len(keep):
                 shards.append(shard)
-                parts[0].append(pack(np.diff(first[keep], prepend=0)))
-                parts[1].append(pack(second[keep]))
-        head = order[start[often]]
-        none, empty = pa.nulls(len(shards), pa.int64()), pa.nulls(len(head), pa.binary())
+                words.append([pack(np.diff(keep[:, 0], prepend=0)), *map(pack, keep.T[1:])])
+        flat = pa.array(phrases[often].ravel())
+        n, width = int(often.sum()), phrases.shape[1]
+        listed = pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width), pa.int32()), flat)
         columns = [
-            [pa.array(shards, pa.int64()), pa.nulls(len(head), pa.int64())], [pa.array(parts[0], pa.binary()), empty], [pa.array(parts[1], pa.binary()), empty],
-            [none, pa.array(first[head])], [none, pa.array(second[head])], [none, pa.array(total[often])],
+            [listed, pa.nulls(len(shards), listed.type)], [pa.array(totals[often]), pa.nulls(len(shards), pa.int64())],
+            [pa.nulls(n, pa.int64()), pa.array(shards, pa.int64())], [pa.nulls(n, pa.list_(pa.binary())), pa.array(words, pa.list_(pa.binary()))],
         ]
-        return pa.table([pa.chunked_array(x) for x in columns], [x.split()[0] for x in _FREQUENT.split(", ")])
+        return pa.table([pa.chunked_array(x) for x in columns], ["phrase", "f", "shard", "words"])
 
     return run
 
 
-def _longer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            index, names = _loaded(row)
-            pairs = row.column("pairs")[0].values
-            firsts = np.concatenate([np.cumsum(unpack(x.as_buffer())) for x in pairs.field("firsts")])
-            seconds = np.concatenate([unpack(x.as_buffer()) for x in pairs.field("seconds")])
-            ends = [np.searchsorted(names, x) for x in (firsts, seconds)]
-            for phrase, size in longer_of(index, np.unique(ends[0] * (index.symbols + 1) + ends[1])):
-                flat = pa.array(names[phrase].ravel())
-                words = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, phrase.shape[1]), pa.int32()), flat)
-                for at in range(0, len(size), _ROWS):
-                    yield pa.record_batch([words[at : at + _ROWS], pa.array(size[at : at + _ROWS])], ["phrase", "count"])
-
-
 def _numbered(words: DataFrame) -> DataFrame:
     """``words`` with ``id``, gapless from 1, the most frequent first: place in its partition plus the rows of earlier ones."""
     placed = stage(words.orderBy(F.desc("f")).withColumn("at", F.monotonically_increasing_id()), "sorted-words")
@@ -351,13 +366,14 @@ def phrase_counts(df: DataFrame, lang: str, text: str, min_count: int = MIN_COUN
         .mapInArrow(_index_rows, "shard bigint, names array<bigint>, forward binary, backward binary"), "phrase-index",
     )
     words = shards.agg(F.sum("n").alias("n")).first()["n"] or 0
-    lists = index.mapInArrow(_pair_rows(-(-words // BUCKET_WORDS) or 1), "bucket bigint, shard bigint, first binary, second binary, count binary")
-    pairs = stage(lists.groupBy("bucket").applyInArrow(_merged_pairs(min_count), _FREQUENT), "frequent-pairs")
-
-    wanted = pairs.where("shard IS NOT NULL").groupBy("shard").agg(F.collect_list(F.struct("firsts", "seconds")).alias("pairs"))
-    longer = index.join(wanted, "shard").select("shard", "names", "forward", "backward", "pairs").mapInArrow(_longer_rows, "phrase array<bigint>, count bigint")
-    longer = longer.groupBy("phrase").agg(F.sum("count").alias("f")).where(F.col("f") >= min_count)
-    two = pairs.where("shard IS NULL").select(F.array("first", "second").alias("phrase"), "f")
+    buckets = -(-words // BUCKET_WORDS) or 1
+    lists = index.mapInArrow(_pair_rows(buckets), _LISTS)
+    pairs = stage(lists.groupBy("bucket").applyInArrow(_merged(min_count, True), _FREQUENT), "frequent-pairs")
+
+    wanted = pairs.where("shard IS NOT NULL").groupBy("shard").agg(F.collect_list("words").alias("pairs"))
+    lists = index.join(wanted, "shard").select("shard", "names", "forward", "backward", "pairs").mapInArrow(_longer_rows(buckets), _LISTS)
+    longer = lists.groupBy("size", "bucket").applyInArrow(_merged(min_count, False), _FREQUENT).select("phrase", "f")
+    two = pairs.where("shard IS NULL").select("phrase", "f")
     one = frequent.select(F.array("id").alias("phrase"), "f")
     return totals, frequent, stage(one.unionByName(two).unionByName(longer), "phrase-counts")
 
