@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.tags import powerset_label
+from textmill.operators.ranking import global_rank
 from textmill.staging import scalar_of
 
 
@@ -99,9 +100,12 @@ def with_weights(df: DataFrame, weights: dict[str, float] | DataFrame, label: st
 
 
 def index_labels(df: DataFrame, label: str = "label") -> DataFrame:
-    """(label, label_index): alphabetical position of each label, for encoding and decoding."""
-    names = df.select(F.array_sort(F.collect_set(label)).alias("names"))
-    return names.select(F.posexplode("names").alias("label_index", "label")).select("label", "label_index")
+    """(label, label_index): alphabetical position of each label, for encoding and decoding; null is no label.
+
+    Labels are merged first and ranked by range partitions, so their number is not bounded by one task.
+    """
+    names = df.filter(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct()
+    return global_rank(names, ["label"], "label_index").withColumn("label_index", F.col("label_index").cast("int"))
 
 
 def with_ids(df: DataFrame, ids: Sequence[int] | DataFrame, key: str = "id") -> DataFrame:

@@ -13,15 +13,22 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from textmill.functions.literals import literal_list, sql_array, sql_literal
 from textmill.functions.numeric import bind_once
-from textmill.operators import features
+from textmill.operators import aggregates, features
 from textmill.staging import stage
 
 ALPHA_FLOOR = 1e-10
+# batches that one task goes through, and the test rows that it scores
+STRETCH, TEST_ROWS = 16, 2_000
+# rows of token and document counts beside those of the terms
+TOKENS, DOCS = -1, -2
 # class columns per aggregate
 WIDE = 200
 
@@ -257,6 +264,59 @@ def predict_ovr(counts: DataFrame, model: LinearModel, key: str = "id", keep: Se
     return scored.select(key, *keep, hits.alias("predicted"))
 
 
+def _running(rows: DataFrame, keys: Sequence[str], order: str) -> Column:
+    """Sum of ``add`` over the earlier rows of the same keys."""
+    before = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    return F.coalesce(F.sum("add").over(before), F.lit(0)).cast("double")
+
+
+def _batch_scores(n_classes: int, vocabulary: int, alpha: float):
+    """Right answers of a share of the test set after each batch of a stretch; see :func:`prequential`."""
+
+    def run(cells: pa.Table, tests: pa.Table) -> pa.Table:
+        place = {name: cells[name].to_numpy() for name in ("idx", "cls", "before", "add")}
+        batch = cells["batch"].to_numpy(zero_copy_only=False)
+        docs, tokens = np.zeros(n_classes), np.zeros(n_classes)
+        start = np.isnan(batch) if batch.dtype.kind == "f" else np.zeros(len(batch), dtype=bool)
+        for kind, state in ((DOCS, docs), (TOKENS, tokens)):
+            at = start & (place["idx"] == kind)
+            state[place["cls"][at]] = place["before"][at]
+
+        size = len(tests)
+        label, known = tests["cls"].to_numpy(), tests["known"].to_numpy()[:, None]
+        entries, bases = tests["entries"].combine_chunks(), tests["bases"].combine_chunks()
+        scores = np.zeros((size, n_classes))
+        base_rows = np.repeat(np.arange(size), np.diff(bases.offsets.to_numpy()))
+        scores[base_rows, bases.flatten().field("cls").to_numpy()] = bases.flatten().field("base").to_numpy()
+        rows = np.repeat(np.arange(size), np.diff(entries.offsets.to_numpy()))
+        terms, tf = entries.flatten().field("idx").to_numpy(), entries.flatten().field("tf").to_numpy()
+        order = np.argsort(terms, kind="stable")
+        rows, terms, tf = rows[order], terms[order], tf[order].astype(np.float64)
+
+        found = []
+        for number in np.unique(batch[~start]):
+            cell = {name: values[batch == number] for name, values in place.items()}
+            for kind, state in ((DOCS, docs), (TOKENS, tokens)):
+                at = cell["idx"] == kind
+                state[cell["cls"][at]] += cell["add"][at]
+            low, high = np.searchsorted(terms, cell["idx"], "left"), np.searchsorted(terms, cell["idx"], "right")
+            change = np.log(cell["before"] + cell["add"] + alpha) - np.log(cell["before"] + alpha)
+            # every changed weight goes to the test rows that hold its term
+            held = np.where(cell["idx"] >= 0, high - low, 0)
+            which = np.repeat(np.arange(len(held)), held)
+            at = np.arange(len(which)) + np.repeat(low - (np.cumsum(held) - held), held)
+            goal = rows[at] * n_classes + cell["cls"][which]
+            scores += np.bincount(goal, weights=tf[at] * change[which], minlength=scores.size).reshape(scores.shape)
+            with np.errstate(divide="ignore"):
+                whole = scores + np.log(docs / docs.sum()) - known * np.log(tokens + alpha * vocabulary)
+            right = int((whole.argmax(axis=1) == label).sum())
+            found.append((int(number), int(docs.sum()), right))
+        columns = list(zip(*found, strict=True)) or [(), (), ()]
+        return pa.table([pa.array(x, pa.int64()) for x in columns], ["batch", "n_train", "right"])
+
+    return run
+
+
 def prequential(
     train_counts: DataFrame,
     train_docs: DataFrame,
@@ -268,39 +328,65 @@ def prequential(
     alpha: float = 1.0,
     **vocab_params,
 ) -> DataFrame:
-    """(batch, n_train, accuracy): the model after each mini-batch, judged on one fixed test set.
+    """(batch, n_train, accuracy): the model after each mini-batch, judged on one fixed test set; any number of batches.
 
-    Counts are additive, so the model after batch b is the sum over batches <= b. All of them are fitted in one
-    aggregate, one column per (batch, class), and the test set is scored against all of them in one pass.
+    Counts are additive, so the weight of a (term, class) only changes in batches that hold it. Each change is a row that knows the
+    count before it; nothing is stored for the batches between two changes. The batches are cut into stretches of
+    ``STRETCH``. A score at the beginning of a stretch is the sum of the changes of earlier stretches, which are joined with
+    the test rows on the term and summed; inside a stretch a task adds the changes of one batch after the other to its share of
+    the test rows. Classes and batches are rows everywhere. Documents without a label teach nothing.
     """
-    sizes = [(r[0], r[1]) for r in train_docs.groupBy(batch).agg(F.count("*")).orderBy(batch).collect()]
-    labels = [name for name, _ in distinct_labels(train_docs, label)]
-    per_pair = {(r[0], r[1]): r[2] for r in train_docs.groupBy(batch, label).agg(F.count("*")).collect()}
-    n_docs = sum(n for _, n in sizes)
-    vocab = stage(features.fit_vocab(train_counts, key=key, n_docs=F.lit(n_docs), **vocab_params), "vocab")
-    vocab = vocab.withColumn("idf", F.lit(1.0))
-    values = features.tfidf(train_counts, vocab)
-    batches = [b for b, _ in sizes]
-    seen = {b: sum(n for x, n in sizes if x <= b) for b in batches}
-    pairs = [(b, c) for b in batches for c in labels]
-    members = [f"`{batch}` <= {b} AND `{label}` = {sql_literal(c)}" for b, c in pairs]
-    sums = stage(class_sums(values, members, [batch, label]), "class-sums")
-    docs_so_far = [sum(per_pair.get((x, c), 0) for x in batches if x <= b) for b, c in pairs]
-    model = fit_from_sums(sums, vocab, [f"{b}/{c}" for b, c in pairs], docs_so_far, alpha, None)
-    model.intercepts = [
-        math.log(n / seen[b]) if n else float("-inf") for n, (b, _) in zip(docs_so_far, pairs, strict=True)
-    ]
-    scored = linear_scores(test_counts, model, key, [label])
-    width = len(labels)
-    # the winner of a batch is the position of its largest score inside its own slice
-    right = ", ".join(
-        f"count_if(array_position(slice(scores, {j * width + 1}, {width}), array_max(slice(scores, {j * width + 1}, {width})))"
-        f" = array_position({sql_array(labels)}, `{label}`))"
-        for j in range(len(batches))
+    alpha = max(alpha, ALPHA_FLOOR)
+    train_counts, train_docs = train_counts.filter(F.col(label).isNotNull()), train_docs.filter(F.col(label).isNotNull())
+    classes = stage(aggregates.index_labels(train_docs, label).select(F.col("label").alias("_label"), F.col("label_index").cast("bigint").alias("cls")), "classes")
+    n_classes, n_docs, last = classes.count(), *train_docs.agg(F.count("*"), F.max(batch)).first()
+    vocab = features.fit_vocab(train_counts, key=key, n_docs=F.lit(n_docs), **vocab_params)
+    vocab = stage(features.index_vocab(vocab).select("term", "idx"), "vocab")
+    size = vocab.count()
+
+    def coded(rows: DataFrame, how: str = "inner") -> DataFrame:
+        return rows.join(classes, F.col(label) == F.col("_label"), how)
+
+    words = coded(train_counts.join(vocab, "term")).groupBy("idx", "cls", F.col(batch).alias("batch")).agg(F.sum("tf").alias("add"))
+    words = stage(words, "batch-words")
+    tokens = words.groupBy("cls", "batch").agg(F.sum("add").alias("add")).withColumn("idx", F.lit(TOKENS).cast("bigint"))
+    docs = coded(train_docs).groupBy("cls", F.col(batch).alias("batch")).agg(F.count("*").alias("add")).withColumn("idx", F.lit(DOCS).cast("bigint"))
+    stretch = F.expr(f"batch div {STRETCH}").alias("stretch")
+    cells = words.unionByName(tokens).unionByName(docs)
+    cells = stage(cells.select("idx", "cls", "batch", stretch, _running(cells, ["idx", "cls"], "batch").alias("before"), F.col("add").cast("double").alias("add")), "batch-cells")
+
+    # what a class has seen before each stretch, also where nothing of it changes there
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit((last or 0) // STRETCH).cast("bigint"))
+    summed = cells.groupBy("idx", "cls", "stretch").agg(F.sum("add").alias("add"), F.min("before").alias("before"))
+    totals = summed.filter("idx < 0").select("idx", "cls", "stretch", "add")
+    grid = totals.select("idx", "cls").distinct().select("idx", "cls", F.explode(every).alias("stretch")).join(totals, ["idx", "cls", "stretch"], "left")
+    states = grid.select(
+        "idx", "cls", F.lit(None).cast("bigint").alias("batch"), "stretch", _running(grid, ["idx", "cls"], "stretch").alias("before"), F.lit(0.0).alias("add")
     )
-    totals = scored.agg(F.expr(f"array({right})").alias("right"))
-    rows = totals.selectExpr(
-        "right", f"{sql_array(int(b) for b in batches)} AS batch", f"{sql_array(seen[b] for b in batches)} AS n_train"
+
+    # test rows, and their scores before each stretch
+    held = test_counts.join(vocab, "term", "left")
+    pairs = F.array_compact(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", "tf"))))
+    tests = coded(held, "left").groupBy(key).agg(
+        F.coalesce(F.max("cls"), F.lit(-1).cast("bigint")).alias("cls"), F.coalesce(F.sum(F.when(F.col("idx").isNotNull(), F.col("tf"))), F.lit(0)).cast("double").alias("known"), pairs.alias("entries")
     )
-    zipped = rows.select(F.explode(F.arrays_zip("batch", "n_train", "right")).alias("r"))
-    return zipped.select("r.batch", "r.n_train", (F.col("r.right") / F.lit(n_test)).alias("accuracy"))
+    tests = stage(tests.withColumnRenamed(key, "_key"), "batch-tests")
+    change = F.log(F.col("before") + F.col("add") + alpha) - F.log(F.col("before") + alpha)
+    moved = summed.filter("idx >= 0").select("idx", F.col("cls"), "stretch", change.alias("change"))
+    entries = tests.select("_key", F.explode("entries").alias("e")).select("_key", "e.idx", "e.tf")
+    gained = stage(entries.join(moved, "idx").groupBy("_key", "cls", "stretch").agg(F.sum(F.col("tf") * F.col("change")).alias("add")), "batch-gains")
+    later = gained.select("_key", "cls").distinct().select("_key", "cls", F.explode(every).alias("stretch")).join(gained, ["_key", "cls", "stretch"], "left")
+    bases = later.select("_key", "cls", "stretch", _running(later, ["_key", "cls"], "stretch").alias("base"))
+    bases = bases.groupBy("_key", "stretch").agg(F.collect_list(F.struct("cls", "base")).alias("bases"))
+
+    shares = max(1, -(-n_test // TEST_ROWS))
+    share = F.pmod(F.xxhash64("_key"), F.lit(shares)).alias("share")
+    asked = tests.select("_key", "cls", "known", "entries", F.explode(every).alias("stretch")).join(bases, ["_key", "stretch"], "left")
+    none = F.array().cast(bases.schema["bases"].dataType)
+    asked = asked.select("stretch", share, "cls", "known", "entries", F.coalesce("bases", none).alias("bases"))
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint"))).alias("share")
+    told = cells.select("idx", "cls", "batch", "stretch", "before", "add").unionByName(states).select("*", copies)
+    by = ["stretch", "share"]
+    judged = told.groupBy(*by).cogroup(asked.groupBy(*by)).applyInArrow(_batch_scores(n_classes, size, alpha), "batch bigint, n_train bigint, right bigint")
+    summary = judged.groupBy("batch").agg(F.max("n_train").alias("n_train"), F.sum("right").alias("right"))
+    return summary.select("batch", "n_train", (F.col("right") / F.lit(n_test)).alias("accuracy"))

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 
 from textmill.errors import InvalidPoint
 from textmill.functions.text import ngrams, tokenise
+from textmill.operators.ranking import global_rank
 from textmill.staging import scalar_of, stage
 
 MAX_FEATURES = 10_000
@@ -77,8 +78,8 @@ def fit_vocab(
 
 
 def index_vocab(vocab: DataFrame) -> DataFrame:
-    """Add ``idx``, the alphabetical position of a term. Meant for vocabularies bounded by ``max_features``."""
-    return vocab.withColumn("idx", F.row_number().over(W.orderBy("term")) - 1)
+    """Add ``idx``, the alphabetical position of a term; the vocabulary may be of any size."""
+    return global_rank(vocab, ["term"], "idx")
 
 
 def tfidf(counts: DataFrame, vocab: DataFrame, keep_empty: bool = False) -> DataFrame:

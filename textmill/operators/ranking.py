@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from textmill.functions.numeric import fingerprint
+from textmill.staging import stage
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -25,6 +26,23 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank", partitions: int | None = None) -> DataFrame:
+    """0-based position of every row in the order of the columns ``order``, nulls first, as column ``out``.
+
+    Range partitions put the rows in order, the row counts of earlier partitions (one row a partition) give the offsets, and a
+    row number inside each partition the rest. No task sees more than its own range; rows that tie in all columns get any of
+    their positions. The ranges are written once, since their cut points come from a sample.
+    """
+    sorted_by = [F.col(f"`{c}`") for c in order]
+    ranged = df.repartitionByRange(partitions, *sorted_by) if partitions else df.repartitionByRange(*sorted_by)
+    parted = stage(ranged.withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = parted.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    placed = parted.withColumn("_r", F.row_number().over(W.partitionBy("_part").orderBy(*sorted_by)))
+    return placed.join(offsets, "_part").select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_off") + F.col("_r") - 1).cast("bigint").alias(out))
+
+
 def rank_within(
     df: DataFrame, key: str, groups: Sequence[str] = (), seed: str = "", out: str = "rank", digits: int = 3
 ) -> DataFrame:

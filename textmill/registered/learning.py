@@ -16,7 +16,7 @@ from textmill.sources.models import save_model
 from textmill.staging import checkpoint_root, spread, stage
 
 EVAL = 20
-PARAMS = train.TrainParams(eval_size=EVAL, alpha=1.0, norm="l2", max_features=2000, tokenizer=folded_words)
+PARAMS = train.TrainParams(eval_size=EVAL, alpha=1.0, norm="l2", tokenizer=folded_words)
 
 
 def frame(spark, sf, label: str = "source"):
@@ -24,7 +24,7 @@ def frame(spark, sf, label: str = "source"):
     return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col(label).alias("label"), "text")
 
 
-def nb_sql(label: str = "source", norm: str = "l2", idf: bool = True, alpha: float = 1.0, top: int = 2000, p: str = "", min_df: int = 1) -> str:
+def nb_sql(label: str = "source", norm: str = "l2", idf: bool = True, alpha: float = 1.0, top: int | None = PARAMS.max_features, p: str = "", min_df: int = 1) -> str:
     """CTEs up to ``{p}pred`` (id, label, split, predicted) and ``{p}proba`` (id, label, split, cls, pr)."""
     weight = {"l2": "v / sqrt(sum(v * v) OVER (PARTITION BY id))", "l1": "v / sum(v) OVER (PARTITION BY id)", "none": "v"}[norm]
     return f"""
@@ -33,7 +33,7 @@ def nb_sql(label: str = "source", norm: str = "l2", idf: bool = True, alpha: flo
 {p}tf AS (SELECT id, label, split, term, count(*) AS tf FROM {p}tok GROUP BY ALL),
 {p}n AS (SELECT count(*)::DOUBLE AS n FROM {p}docs WHERE split = 'train'),
 {p}vocab AS (SELECT term, {'ln((1 + (SELECT n FROM ' + p + 'n)) / (1 + count(*))) + 1' if idf else '1.0::DOUBLE'} AS idf, count(*) AS df, sum(tf) AS cf
-  FROM {p}tf WHERE split = 'train' GROUP BY term HAVING count(*) >= {min_df} ORDER BY sum(tf) DESC, term LIMIT {top}),
+  FROM {p}tf WHERE split = 'train' GROUP BY term HAVING count(*) >= {min_df}{f' ORDER BY sum(tf) DESC, term LIMIT {top}' if top else ''}),
 {p}raw AS (SELECT id, label, split, term, tf * idf AS v FROM {p}tf JOIN {p}vocab USING (term)),
 {p}val AS (SELECT id, label, split, term, {weight} AS w FROM {p}raw),
 {p}cls AS (SELECT label AS cls, ln(count(*) / (SELECT n FROM {p}n)) AS prior FROM {p}docs WHERE split = 'train' GROUP BY 1),
@@ -78,27 +78,25 @@ def _(spark, sf):
     return predictions.select("id", "label", "split", "predicted")
 
 
-@register("save_model", f"WITH {nb_sql('lang')} SELECT id, predicted FROM pred")
+@register("save_model", f"WITH {nb_sql('lang', top=None)} SELECT id, predicted FROM pred")
 def _(spark, sf):
     docs = train.split_frame(frame(spark, sf, "lang"), PARAMS)
     counts = train.staged_counts(docs, PARAMS)
     training = F.col("split") == "train"
-    fitted = bayes.fit_nb(counts.filter(training), docs.filter(training), max_features=2000)
+    fitted = bayes.fit_nb(counts.filter(training), docs.filter(training))
     path = save_model(fitted, f"{checkpoint_root(spark)}/textmill/models-{uuid.uuid4().hex}", "nb")
     return bayes.predict_nb(counts, bayes.LinearModel.load(spark, path)).select("id", "predicted")
 
 
 @register(
     "naive_bayes_counts",
-    f"WITH {nb_sql('lang', 'none', False, 0.4)} SELECT id, label, split, predicted FROM pred",
+    f"WITH {nb_sql('lang', 'none', False, 0.4, None)} SELECT id, label, split, predicted FROM pred",
 )
 def _(spark, sf):
     docs = train.split_frame(frame(spark, sf, "lang"), PARAMS)
     counts = train.staged_counts(docs, PARAMS)
     training = F.col("split") == "train"
-    model = bayes.fit_nb(
-        counts.filter(training), docs.filter(training), alpha=0.4, norm=None, use_idf=False, max_features=2000
-    )
+    model = bayes.fit_nb(counts.filter(training), docs.filter(training), alpha=0.4, norm=None, use_idf=False)
     return bayes.predict_nb(counts, model, "id", ["label", "split"]).drop("scores")
 
 
@@ -110,13 +108,13 @@ def _(spark, sf):
 
 @register(
     "score_terms_join",
-    f"WITH {nb_sql('lang')} SELECT id, cls AS label, round(s, 6) AS score FROM score",
+    f"WITH {nb_sql('lang', top=None)} SELECT id, cls AS label, round(s, 6) AS score FROM score",
 )
 def _(spark, sf):
     docs = train.split_frame(frame(spark, sf, "lang"), PARAMS)
     counts = train.staged_counts(docs, PARAMS)
     training = F.col("split") == "train"
-    model = bayes.fit_nb(counts.filter(training), docs.filter(training), max_features=2000)
+    model = bayes.fit_nb(counts.filter(training), docs.filter(training))
     scored = bayes.linear_scores(counts, model)
     names = F.array(*[F.lit(c) for c in model.classes])
     pairs = F.explode(F.arrays_zip(names.alias("label"), F.col("scores").alias("score"))).alias("x")
@@ -157,7 +155,7 @@ tok AS (SELECT id, tags, split, unnest({sql_words('text')}) AS term FROM docs),
 tf AS (SELECT id, tags, split, term, count(*) AS tf FROM tok GROUP BY ALL),
 n AS (SELECT count(*)::DOUBLE AS n FROM docs WHERE split = 'train'),
 vocab AS (SELECT term, ln((1 + (SELECT n FROM n)) / (1 + count(*))) + 1 AS idf FROM tf WHERE split = 'train'
-  GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 2000),
+  GROUP BY term),
 raw AS (SELECT id, tags, split, term, tf * idf AS v FROM tf JOIN vocab USING (term)),
 val AS (SELECT id, tags, split, term, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS w FROM raw),
 lab AS (SELECT unnest([{sql_list(LANGS + SIZES)}]) AS l),
@@ -180,7 +178,7 @@ def ovr_predictions(spark, sf):
     docs = tagged_docs(spark, sf)
     counts = train.staged_counts(docs, PARAMS, ["tags", "split"])
     training = F.col("split") == "train"
-    model = bayes.fit_ovr_nb(counts.filter(training), docs.filter(training), LANGS + SIZES, max_features=2000)
+    model = bayes.fit_ovr_nb(counts.filter(training), docs.filter(training), LANGS + SIZES)
     return bayes.predict_ovr(counts, model, "id", ["tags", "split"])
 
 
@@ -218,8 +216,9 @@ def knn_sides(spark, sf):
     counts = train.staged_counts(docs, PARAMS, ["tags", "split"])
     training = F.col("split") == "train"
     n_train = docs.filter(training).select(F.count("*")).scalar()
-    vocab = stage(features.fit_vocab(counts.filter(training), n_docs=n_train, max_features=2000), "vocab")
-    values = features.tfidf(counts, vocab, keep_empty=True)
+    vocab = stage(features.index_vocab(features.fit_vocab(counts.filter(training), n_docs=n_train)), "vocab")
+    # numbers in place of terms: they are compared as often, and shorter
+    values = features.tfidf(counts, vocab, keep_empty=True).join(vocab.select("term", "idx"), "term", "left").withColumn("term", F.col("idx"))
     packed = stage(knn.pack_vectors(values, "id", ["tags", "split"]), "packed")
     return packed.filter(training).drop("split"), packed.filter(~training).drop("split")
 
@@ -246,7 +245,7 @@ def _(spark, sf):
 
 # ---- voting ---------------------------------------------------------------------------------------------------------
 
-_TWO = f"{nb_sql('lang', 'l2', True, 1.0, 2000, 'a_')}, {nb_sql('lang', 'none', False, 0.5, 200, 'b_')}"
+_TWO = f"{nb_sql('lang', 'l2', True, 1.0, None, 'a_')}, {nb_sql('lang', 'none', False, 0.5, None, 'b_')}"
 
 
 def two_models(spark, sf):
@@ -255,8 +254,8 @@ def two_models(spark, sf):
     counts = train.staged_counts(docs, PARAMS)
     training = F.col("split") == "train"
     fit = {"docs": docs.filter(training), "counts": counts.filter(training)}
-    a = bayes.fit_nb(**fit, alpha=1.0, norm="l2", max_features=2000)
-    b = bayes.fit_nb(**fit, alpha=0.5, norm=None, use_idf=False, max_features=200)
+    a = bayes.fit_nb(**fit, alpha=1.0, norm="l2")
+    b = bayes.fit_nb(**fit, alpha=0.5, norm=None, use_idf=False)
     test = counts.filter(~training)
     parts = [
         bayes.long_probabilities(bayes.predict_proba(test, m, "id", ["label"]).withColumnRenamed("label", "truth"), m.classes, name, "id", ["truth"])
@@ -290,15 +289,15 @@ def _(spark, sf):
 
 # ---- mini-batches ---------------------------------------------------------------------------------------------------
 
-N_BATCHES = 8
+BATCH_ROWS = 218
 
 _BATCHES = f"""
 docs AS (SELECT doc_id AS id, source AS label, text, CASE WHEN {sql_bucket('doc_id')} < {EVAL} THEN 'eval' ELSE 'train' END AS split FROM documents),
 tr AS (SELECT id, label, text, row_number() OVER (ORDER BY {sql_hash('id', 'batch')}, id) AS rank, count(*) OVER () AS n FROM docs WHERE split = 'train'),
-bat AS (SELECT id, label, text, CAST((rank - 1) * {N_BATCHES} // n AS BIGINT) AS batch FROM tr),
+bat AS (SELECT id, label, text, CAST((rank - 1) // {BATCH_ROWS} AS BIGINT) AS batch FROM tr),
 ttf AS (SELECT id, label, batch, term, count(*) AS tf FROM (SELECT id, label, batch, unnest({sql_words('text')}) AS term FROM bat) GROUP BY ALL),
 etf AS (SELECT id, label, term, count(*) AS tf FROM (SELECT id, label, unnest({sql_words('text')}) AS term FROM docs WHERE split = 'eval') GROUP BY ALL),
-vocab AS (SELECT term FROM ttf GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 500),
+vocab AS (SELECT term FROM ttf GROUP BY term),
 bs AS (SELECT DISTINCT batch AS b FROM bat), cl AS (SELECT DISTINCT label AS c FROM bat),
 s AS (SELECT b, label AS c, term, sum(tf) AS s FROM bs JOIN ttf ON batch <= b SEMI JOIN vocab USING (term) GROUP BY ALL),
 tot AS (SELECT b, c, coalesce(sum(s), 0) AS t FROM bs CROSS JOIN cl LEFT JOIN s USING (b, c) GROUP BY b, c),
@@ -317,14 +316,13 @@ FROM top JOIN seen USING (b) WHERE r = 1 GROUP BY b
 def batch_history(spark, sf):
     docs = train.split_frame(frame(spark, sf), PARAMS)
     train_docs, test_docs = docs.filter("split = 'train'"), docs.filter("split = 'eval'")
-    n_train, n_test = train_docs.count(), test_docs.count()
     ranked = rank_within(train_docs, "id", seed="batch")
-    batch = F.floor((F.col("rank") - 1) * N_BATCHES / F.lit(n_train)).cast("bigint")
+    batch = F.expr(f"(rank - 1) div {BATCH_ROWS}")
     batched = stage(ranked.select("id", "label", "text", batch.alias("batch")), "batches")
     tokens = features.explode_tokens(batched, "text", "id", ["label", "batch"], folded_words)
     train_counts = stage(features.term_counts(tokens, "id", ["label", "batch"]), "counts")
     test_counts = features.term_counts(features.explode_tokens(test_docs, "text", "id", ["label"], folded_words), "id", ["label"])
-    return bayes.prequential(train_counts, batched, test_counts, n_test, max_features=500)
+    return bayes.prequential(train_counts, batched.select("id", "label", "batch"), test_counts, test_docs.count())
 
 
 @register("minibatch_train", f"WITH {_BATCHES}")
