@@ -1,6 +1,8 @@
 """Sinks, sources, the cleaning job and its stream."""
 
 import glob
+import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,9 +94,27 @@ def test_batches_keep_every_row(spark):
 
 def test_medians(spark):
     df = spark.createDataFrame([(1, 2.0), (2, 2.0), (3, 5.0), (4, None), (5, 9.0)], "a int, b double")
-    freq = catalog.value_frequencies(df, ["a", "b"])
-    got = {r.column: r.median for r in catalog.medians(freq).collect()}
-    assert got == {"a": 3.0, "b": 3.5}
+    assert catalog.medians(df, ["a", "b"]) == {"a": 3.0, "b": 3.5}
+
+
+@pytest.mark.parametrize("bins", [2, 512])
+def test_medians_of_any_values(spark, bins):
+    rng, inf, nan = random.Random(bins), float("inf"), float("nan")
+    lists = [
+        [rng.choice([1e-300, 1e300, -1e308, 5.0, 5.0, 1e308, 0.1]) for _ in range(50)], [rng.gauss(0, 1) for _ in range(51)], [7.0] * 50, [-inf, inf, 1.0], [inf, inf, 1.0],
+        [-inf, -inf, inf, inf], [nan, 3.0, nan], [0.0, -0.0], [1.0, 2.0], [float(2**53 + 2 * i) for i in range(7)], [nan], [],
+    ]
+    size = max(map(len, lists))
+    rows = [tuple(x[i] if i < len(x) else None for x in lists) for i in range(size)]
+    df = spark.createDataFrame(rows, ", ".join(f"c{i} double" for i in range(len(lists)))).repartition(3)
+    want = {}
+    for i, values in enumerate(lists):
+        numbers = sorted(v for v in values if v == v)
+        if numbers:
+            want[f"c{i}"] = pytest.approx(statistics.median(numbers)) if numbers[0] + numbers[-1] == numbers[0] + numbers[-1] else None
+    got = catalog.medians(df, df.columns, bins)
+    assert set(got) == set(want) and all(v is None or got[c] == v for c, v in want.items())
+    assert got["c3"] == 1.0 and got["c4"] == inf
 
 
 def test_column_stats_on_first_rows(spark):

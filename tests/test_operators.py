@@ -2,8 +2,10 @@
 
 import math
 import random
+from collections import Counter
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import VectorAssembler
@@ -44,7 +46,7 @@ def test_running_totals_equal_window(spark, descending):
     order = F.desc("s") if descending else F.asc("s")
     plain = W.partitionBy("g").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     want = {(r.s, r.c) for r in df.select("s", F.sum("v").over(plain).alias("c")).collect()}
-    got = {(r.s, r.cum_v) for r in running_totals(df, "s", ["v"], ["g"], descending, buckets=16).collect()}
+    got = {(r.s, r.cum_v) for r in running_totals(df, "s", ["v"], ["g"], descending, partitions=16).collect()}
     assert got == want
 
 
@@ -278,6 +280,54 @@ def test_cooccurrence_and_communities(spark):
     assert found["a"] == found["b"] == found["c"] != found["x"] == found["y"]
 
 
+def plain_modularity(edges, found):
+    total, inside, degree = 2 * sum(edges.values()), 0, Counter()
+    for (a, b), w in edges.items():
+        inside += 2 * w * (found[a] == found[b])
+        degree[found[a]] += w
+        degree[found[b]] += w
+    return inside / total - sum((d / total) ** 2 for d in degree.values())
+
+
+def test_communities_of_planted_groups(spark):
+    rng = random.Random(8)
+    edges = {}
+    for a in range(30):
+        for b in range(a + 1, 30):
+            if rng.random() < (0.8 if a // 6 == b // 6 else 0.06):
+                edges[(f"n{a:02d}", f"n{b:02d}")] = rng.randint(1, 3)
+    df = spark.createDataFrame([(a, b, w) for (a, b), w in edges.items()], "src string, dst string, weight long")
+    found = {r.label: r.community for r in graph.communities(df).collect()}
+    quality = plain_modularity(edges, found)
+    assert quality == pytest.approx(graph.modularity(df, spark.createDataFrame(list(found.items()), "label string, community string")))
+    assert quality >= plain_modularity(edges, {n: int(n[1:]) // 6 for n in found}) - 1e-9
+    assert quality >= plain_modularity(edges, {r.label: r.community for r in graph.label_propagation(df).collect()})
+    # no single node gains by moving to another community
+    for n in found:
+        for c in set(found.values()):
+            assert plain_modularity(edges, found | {n: c}) <= quality + 1e-9
+    assert graph.communities(df.filter("false")).collect() == []
+
+
+def test_project_2d_equals_dense_components(spark):
+    rng = np.random.default_rng(3)
+    dense = np.where(rng.random((60, 25)) < 0.3, rng.random((60, 25)), 0.0)
+    dense[:30, :4] += 2.0
+    dense[7] = 0.0
+    rows = [(i, f"t{j:02d}", float(dense[i, j])) for i in range(60) for j in range(25) if dense[i, j]] + [(7, None, None)]
+    found = learners.project_2d(spark.createDataFrame(rows, "id long, term string, value double"), tol=1e-7, max_rounds=200)
+    centred = dense - dense.mean(axis=0)
+    _, sizes, axes = np.linalg.svd(centred, full_matrices=False)
+    assert found.variances == pytest.approx((sizes[:2] ** 2 / 59).tolist())
+    points = {r.id: (r.x, r.y) for r in found.points.collect()}
+    for j, axis in enumerate(axes[:2]):
+        axis = axis * np.sign(axis[np.abs(axis).argmax()])
+        assert [points[i][j] for i in range(60)] == pytest.approx((centred @ axis).tolist(), abs=1e-5)
+    one = learners.project_2d(spark.createDataFrame([(1, "a", 1.0), (2, None, None)], "id long, term string, value double"))
+    assert sorted((r.id, round(abs(r.x), 6), r.y) for r in one.points.collect()) == [(1, 0.5, 0.0), (2, 0.5, 0.0)]
+    assert learners.project_2d(spark.createDataFrame([], "id long, term string, value double")).points.collect() == []
+
+
 def test_document_frequency_bound():
     assert learners.document_frequency_bound(1.0, 50) == 50.0
     assert learners.document_frequency_bound(1, 50) == 1.0

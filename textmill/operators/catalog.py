@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.operators.aggregates import equal_width_hist
-from textmill.operators.ranking import running_totals
 from textmill.staging import stage
 
 # Bytes of one value of a fixed-width type.
@@ -131,43 +130,81 @@ def field_paths(df: DataFrame) -> DataFrame:
     return rows_from(sums, rows)
 
 
-def value_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, value, number, n): how often each non-null value occurs, for several columns in one shuffle."""
+def _one_zero(name: str, kind: T.DataType) -> Column:
+    """-0.0 and 0.0 are one value."""
+    fractional = isinstance(kind, (T.FloatType, T.DoubleType))
+    return F.when(F.col(name) == 0, F.lit(0).cast(kind)).otherwise(F.col(name)) if fractional else F.col(name)
+
+
+def distinct_and_top(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, distinct, top, top_n) of the non-null values; ``top`` is the most frequent one as text, ties alphabetical.
+
+    Each column is read alone and counted in its own type, so a value is combined before it moves and only distinct values are
+    written as text.
+    """
     kinds = {f.name: f.dataType for f in df.schema}
-    # -0.0 and 0.0 are one value
-    zeros = [c for c in cols if isinstance(kinds[c], (T.FloatType, T.DoubleType))]
-    df = df.withColumns({c: F.when(F.col(c) == 0, F.lit(0).cast(kinds[c])).otherwise(F.col(c)) for c in zeros})
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(c).cast("string").alias("value"),
-                (F.col(c).cast("double") if _is_number(kinds[c]) else F.lit(None).cast("double")).alias("number"),
-            )
-            for c in cols
-        ]
-    )
-    long = df.select(F.explode(cells).alias("cell")).select("cell.*").filter(F.col("value").isNotNull())
-    return long.groupBy("column", "value", "number").agg(F.count("*").alias("n"))
-
-
-def medians(freq: DataFrame) -> DataFrame:
-    """(column, median): exact medians from a value frequency table, without gathering the values of a column; NaN is left out."""
-    numbers = freq.filter(F.col("number").isNotNull() & ~F.isnan("number")).groupBy("column", "number").agg(F.sum("n").alias("n"))
-    numbers = stage(numbers, "numbers")
-    totals = running_totals(numbers, "number", ["n"], groups=["column"], descending=False)
-    sizes = numbers.groupBy("column").agg(F.sum("n").alias("size"))
-    # the middle positions are (size + 1) / 2 rounded down and up
-    low, high = F.floor((F.col("size") + 1) / 2), F.ceil((F.col("size") + 1) / 2)
-    start, end = F.col("cum_n") - F.col("n") + 1, F.col("cum_n")
-    hits = F.when(low.between(start, end), 1).otherwise(0) + F.when(high.between(start, end), 1).otherwise(0)
-    return (
-        totals.join(sizes, "column")
-        .withColumn("hits", hits)
-        .filter("hits > 0")
-        .groupBy("column")
-        .agg((F.sum(F.col("number") * F.col("hits")) / 2.0).alias("median"))
-    )
+    parts = []
+    for c in cols:
+        counted = df.select(_one_zero(c, kinds[c]).alias("value")).filter(F.col("value").isNotNull()).groupBy("value").agg(F.count("*").alias("n"))
+        text = F.col("value").cast("string")
+        first = F.min_by(text, F.struct(-F.col("n"), text))
+        parts.append(counted.agg(F.count("*").alias("distinct"), first.alias("top"), F.max("n").alias("top_n")).select(F.lit(c).alias("column"), "*").filter("distinct > 0"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def medians(df: DataFrame, cols: Sequence[str], bins: int = 512) -> dict[str, float]:
+    """Exact medians of numeric columns by narrowing value ranges; NaN and null are left out, a column without numbers too.
+
+    A pass counts, for all open columns at once, how many values fall into each of ``bins`` equal ranges between two bounds, with the
+    least and the largest value of each. The range with the middle values becomes the next bounds, until it holds one value. The
+    driver sees ``bins`` rows a column and pass; no column is sorted or moved.
+    """
+    number = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    infinite = float("inf")
+    facts = df.agg(*[
+        F.struct(
+            F.count(v).alias("n"), F.count_if(v == -infinite).alias("below"), F.count_if(v == infinite).alias("above"),
+            F.min(F.when(F.abs(v) != infinite, v)).alias("low"), F.max(F.when(F.abs(v) != infinite, v)).alias("high"),
+        ).alias(f"_{i}") for i, v in enumerate(number.values())
+    ]).first()
+    found: dict[str, float] = {}
+    still: dict[str, tuple[int, int, float, float]] = {}
+    for c, fact in zip(cols, facts, strict=True):
+        if not fact.n:
+            continue
+        # places of the two middle values, from 0; one place if the number of values is odd
+        places = (fact.n - 1) // 2, fact.n // 2
+        known = [-infinite if p < fact.below else infinite if p >= fact.n - fact.above else None for p in places]
+        if None not in known:
+            found[c] = sum(known) / 2
+        elif known != [None, None]:
+            found[c] = next(k for k in known if k is not None)
+        else:
+            still[c] = (*(p - fact.below for p in places), fact.low, fact.high)
+    while still:
+        cells = []
+        for i, (c, (_, _, low, high)) in enumerate(still.items()):
+            width = high / bins - low / bins
+            place = F.least(F.floor((number[c] - low) / width), F.lit(bins - 1)) if width > 0 else F.lit(0)
+            cells.append(F.when(number[c].between(low, high), F.struct(F.lit(i).alias("i"), F.greatest(place, F.lit(0)).cast("int").alias("bin"), number[c].alias("v"))))
+        counted = df.select(F.explode(F.array_compact(F.array(*cells))).alias("x")).groupBy("x.i", "x.bin")
+        rows = counted.agg(F.count("*").alias("n"), F.min("x.v").alias("low"), F.max("x.v").alias("high")).collect()
+        for i, (c, (first, second, _, _)) in enumerate(list(still.items())):
+            before = 0
+            for r in sorted((r for r in rows if r.i == i), key=lambda r: r.bin):
+                if first < before + r.n:
+                    if second >= before + r.n:  # the two middle values end this range and begin the next one
+                        after = min((x for x in rows if x.i == i and x.bin > r.bin), key=lambda x: x.bin)
+                        found[c] = (r.high + after.low) / 2
+                    elif r.low == r.high:
+                        found[c] = r.low
+                    else:
+                        still[c] = (first - before, second - before, r.low, r.high)
+                    break
+                before += r.n
+            if c in found:
+                del still[c]
+    return found
 
 
 def column_stats(df: DataFrame, cols: Sequence[str] | None = None, limit: int | None = None, order_by: str | None = None) -> DataFrame:
@@ -181,7 +218,6 @@ def column_stats(df: DataFrame, cols: Sequence[str] | None = None, limit: int |
     source = df.select(*cols)
     if limit:
         source = stage((df.orderBy(order_by) if order_by else df).limit(limit).select(*cols), "head")
-    freq = stage(value_frequencies(source, cols), "frequencies")
     aggs = []
     for c in cols:
         number = F.col(c).cast("double") if _is_number(kinds[c]) else F.lit(None).cast("double")
@@ -201,12 +237,9 @@ def column_stats(df: DataFrame, cols: Sequence[str] | None = None, limit: int |
         )
     wide = source.agg(*aggs)
     rows = wide.select(F.explode(F.array(*[F.col(c) for c in cols])).alias("r")).select("r.*")
-    kinds_of = freq.groupBy("column").agg(
-        F.count("*").alias("distinct"),
-        F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("top"),
-        F.max("n").alias("top_n"),
-    )
-    return rows.join(kinds_of, "column", "left").join(medians(freq), "column", "left")
+    numeric = [c for c in cols if _is_number(kinds[c])]
+    middle = source.sparkSession.createDataFrame(list(medians(source, numeric).items()) if numeric else [], "column string, median double")
+    return rows.join(distinct_and_top(source, cols), "column", "left").join(middle, "column", "left")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import (
-    PCA, CountVectorizer, ElementwiseProduct, IDF, IndexToString, NGram, Normalizer, StringIndexer, Word2Vec,
+    CountVectorizer, ElementwiseProduct, IDF, IndexToString, NGram, Normalizer, StringIndexer, Word2Vec,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
@@ -207,11 +208,86 @@ def fit_word_vectors(
     return vectors.select(F.col("word").alias("term"), vector_to_array("vector").alias("vector"))
 
 
-def project_2d(df: DataFrame, features: str = "features", keep: Sequence[str] = ("id",)) -> DataFrame:
-    """(keep..., x, y): the two first principal components of a vector column."""
-    model = PCA(k=2, inputCol=features, outputCol="_pca").fit(df.select(features))
-    point = vector_to_array("_pca")
-    return model.transform(df).select(*keep, point[0].alias("x"), point[1].alias("y"))
+@dataclass
+class Projection:
+    """``points`` (key, x, y), ``components`` (term, x, y of unit length) and the variances along them."""
+
+    points: DataFrame
+    components: DataFrame
+    variances: list[float]
+    residual: float
+
+
+def _weighted_sums(amount: str, column: str, width: int) -> Column:
+    """Array of the sums of ``amount`` times each position of an array column."""
+    return F.expr("array(" + ", ".join(f"coalesce(sum({amount} * {column}[{i}]), 0D)" for i in range(width)) + ")")
+
+
+def _combined(column: str, matrix: np.ndarray) -> Column:
+    """An array column times a small matrix."""
+    return F.expr("array(" + ", ".join(" + ".join(f"{column}[{i}] * {float(x)!r}D" for i, x in enumerate(col)) for col in matrix.T) + ")")
+
+
+def project_2d(values: DataFrame, key: str = "id", oversampling: int = 6, tol: float = 1e-4, max_rounds: int = 30) -> Projection:
+    """The two first principal components of sparse rows (key, term, value), by randomised subspace iteration.
+
+    The iteration holds a few directions (2 + ``oversampling``) as one array per term. A round multiplies the centred matrix with
+    them and its transpose with the result: two joins and sums over the given rows. Only matrices of directions times
+    directions reach the driver, which makes the directions orthogonal; the mean is subtracted from the products, never from
+    the rows. It ends when both residuals |C v - l v| / l are below ``tol``, or with an error after ``max_rounds``. The
+    largest weight of a component is positive, ties by the first term. A key whose rows have no term or value is a point of
+    zeros before centring; with fewer than two terms or rows, and where nothing varies, coordinates are 0.
+    """
+    rows = stage(values.filter(F.col("term").isNotNull() & F.col("value").isNotNull()).select(key, "term", F.col("value").cast("double").alias("value")), "projected-rows")
+    keys = stage(values.select(key).distinct(), "projected-keys")
+    n, width = keys.count(), 2 + oversampling
+    sums = rows.groupBy("term").agg(F.sum("value").alias("sum"))
+    start = F.array(*[(F.pmod(F.xxhash64("term", F.lit(i)), F.lit(2_000_003)) / 1_000_001.5 - 1).alias("q") for i in range(width)])
+    basis = stage(sums.select("term", (F.col("sum") / max(n, 1)).alias("mean"), start.alias("q")), "directions")
+
+    def gram(left: str, right: str, of: DataFrame) -> np.ndarray:
+        cells = ", ".join(f"coalesce(sum({left}[{i}] * {right}[{j}]), 0D)" for i in range(width) for j in range(width))
+        return np.array(of.agg(F.expr(f"array({cells})").alias("g")).first()["g"]).reshape(width, width)
+
+    def orthonormal(of: np.ndarray) -> np.ndarray:
+        """Matrix that turns directions with these products into orthonormal ones; those without length become zero."""
+        values, vectors = np.linalg.eigh(of)
+        keep = values > max(values.max(), 0.0) * 1e-14
+        return vectors[:, keep][:, ::-1] / np.sqrt(values[keep][::-1]) if keep.any() else np.zeros((width, 0))
+
+    def padded(matrix: np.ndarray) -> np.ndarray:
+        return np.hstack([matrix, np.zeros((width, width - matrix.shape[1]))])
+
+    basis = stage(basis.select("term", "mean", _combined("q", padded(orthonormal(gram("q", "q", basis)))).alias("q")), "directions")
+    residual = 0.0
+    for _ in range(max_rounds):
+        shift = basis.agg(_weighted_sums("mean", "q", width).alias("m")).first()["m"]
+        projected = rows.join(basis.select("term", "q"), "term").groupBy(key).agg(_weighted_sums("value", "q", width).alias("p"))
+        centred = F.expr("array(" + ", ".join(f"coalesce(p[{i}], 0D) - {float(m)!r}D" for i, m in enumerate(shift)) + ")")
+        points = stage(keys.join(projected, key, "left").select(key, centred.alias("y")), "projected")
+        # the rows of y sum to zero, so the mean drops out of the second product
+        image = rows.join(points, key).groupBy("term").agg(_weighted_sums("value", "y", width).alias("z"))
+        image = stage(basis.join(image, "term").select("term", "mean", "q", "z"), "images")
+        inner, outer = gram("q", "z", image), gram("z", "z", image)
+        found, turn = np.linalg.eigh((inner + inner.T) / 2)
+        found, turn = np.maximum(found[::-1], 0.0), turn[:, ::-1]
+        # |C v - l v|^2 = v' C C v - l^2 for a direction v of length 1 with v' C v = l
+        spare = [max(turn[:, i] @ outer @ turn[:, i] - found[i] ** 2, 0.0) ** 0.5 / found[i] if found[i] > 1e-12 else 0.0 for i in (0, 1)]
+        residual = max(spare)
+        if residual < tol:
+            break
+        basis = stage(image.select("term", "mean", _combined("z", padded(orthonormal(outer))).alias("q")), "directions")
+    else:
+        raise RuntimeError(f"the components still move by {residual:.1e} after {max_rounds} rounds")
+    pair = turn[:, :2] * (found[:2] > 1e-12)
+    turned = basis.select("term", _combined("q", pair).alias("c"))
+    heads = turned.agg(*[F.max_by(F.col("c")[i], F.struct(F.abs(F.col("c")[i]), F.col("term"))).alias(f"_{i}") for i in (0, 1)]).first()
+    pair = pair * np.array([-1.0 if (h or 0.0) < 0 else 1.0 for h in heads])
+    place = _combined("y", pair)
+    return Projection(
+        points.select(key, place[0].alias("x"), place[1].alias("y")), basis.select("term", _combined("q", pair).alias("c")).select("term", F.col("c")[0].alias("x"), F.col("c")[1].alias("y")),
+        [float(x) / max(n - 1, 1) for x in found[:2]], residual,
+    )
 
 
 def as_pipeline(*steps) -> Pipeline:

@@ -1,7 +1,7 @@
 """Exact ranks and running totals without one big window.
 
-A window over a hot group would sort a third of all rows in one task. Both helpers cut every group into many ordered
-buckets, number or sum inside the buckets, and add the total of the earlier buckets. The results equal those of the
+A window over a hot group would sort a third of all rows in one task. The helpers cut every group into many ordered
+parts, number or sum inside the parts, and add the total of the earlier ones. The results equal those of the
 plain window.
 """
 
@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -67,28 +66,25 @@ def rank_within(
 
 
 def running_totals(
-    df: DataFrame, order: str, sums: Sequence[str], groups: Sequence[str] = (), descending: bool = True, buckets: int = 512
+    df: DataFrame, order: str, sums: Sequence[str], groups: Sequence[str] = (), descending: bool = True, partitions: int | None = None
 ) -> DataFrame:
-    """Running totals ``cum_<name>`` of the columns in ``sums`` by the order column.
+    """Running totals ``cum_<name>`` of the columns in ``sums`` by the order column, inside each group.
 
-    ``df`` must hold one row per (groups, order) value. Bucket edges are approximate quantiles of the order column, a
-    list of at most ``buckets`` numbers; they only decide the cut, not the result. NaN ranks above all numbers.
+    ``df`` must hold one row per (groups, order) value. One range partitioning by (groups, order) sorts all groups at once: a group
+    with crowded or very many values lies in as many partitions as it needs, small groups share one. The totals of the earlier
+    partitions of a group, one row per (partition, group), are added to the running sums inside a partition. NaN ranks above all
+    numbers.
     """
     groups = list(groups)
-    edges = sorted(set(df.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.005)))
-    if edges:
-        splits = [float("-inf"), *edges, float("inf")]
-        cut = Bucketizer(splits=splits, inputCol=order, outputCol="_b", handleInvalid="keep").transform(df)
-    else:
-        cut = df.withColumn("_b", F.lit(0.0))
     direction = F.desc if descending else F.asc
-    per_bucket = cut.groupBy(*groups, "_b").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    before = W.partitionBy(*groups).orderBy(direction("_b")).rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        *groups, "_b", *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums]
-    )
-    inside = W.partitionBy(*groups, "_b").orderBy(direction(order)).rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = cut.select(*df.columns, "_b", *[F.sum(s).over(inside).alias(f"_l_{s}") for s in sums])
-    return null_safe_join(local, offsets, [*groups, "_b"]).select(
+    by = [*[F.asc(g) for g in groups], direction(order)]
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    parted = stage(ranged.withColumn("_part", F.spark_partition_id()), "ranges")
+    totals = parted.groupBy(*groups, "_part").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    before = W.partitionBy(*groups).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select(*groups, "_part", *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums])
+    inside = W.partitionBy("_part", *groups).orderBy(direction(order)).rowsBetween(W.unboundedPreceding, W.currentRow)
+    local = parted.select(*df.columns, "_part", *[F.sum(s).over(inside).alias(f"_l_{s}") for s in sums])
+    return null_safe_join(local, offsets, [*groups, "_part"]).select(
         *df.columns, *[(F.col(f"_o_{s}") + F.col(f"_l_{s}")).alias(f"cum_{s}") for s in sums]
     )

@@ -190,11 +190,10 @@ def _(spark, sf):
 
 @register(
     "index_vocab",
-    f"""WITH {_TF}, kept AS (SELECT * FROM vocab ORDER BY cf DESC, term LIMIT 1000)
-SELECT term, df, cf, row_number() OVER (ORDER BY term) - 1 AS idx FROM kept""",
+    f"WITH {_TF} SELECT term, df, cf, row_number() OVER (ORDER BY term) - 1 AS idx FROM vocab",
 )
 def _(spark, sf):
-    indexed = features.index_vocab(vocab_of(spark, sf, max_features=1000))
+    indexed = features.index_vocab(vocab_of(spark, sf))
     return indexed.select("term", "df", "cf", F.col("idx").cast("bigint").alias("idx"))
 
 
@@ -407,11 +406,11 @@ def _(spark, sf):
 
 @register(
     "embedding_class_means",
-    "SELECT label, " + ", ".join(f"round(avg(embedding[{i}]::DOUBLE), 6) AS e{i}" for i in range(1, 5)) + ", count(*) AS n FROM embeddings GROUP BY label",
+    "SELECT label, " + ", ".join(f"round(avg(embedding[{i}]::DOUBLE), 6) AS e{i}" for i in range(1, 65)) + ", count(*) AS n FROM embeddings GROUP BY label",
 )
 def _(spark, sf):
     vectors = table(spark, sf, "embeddings")
-    means = [F.avg(F.col("embedding")[i].cast("double")).alias(f"e{i + 1}") for i in range(4)]
+    means = [F.avg(F.col("embedding")[i].cast("double")).alias(f"e{i + 1}") for i in range(64)]
     return rounded(vectors.groupBy("label").agg(*means, F.count("*").alias("n")))
 
 

@@ -11,7 +11,7 @@ from textmill.operators import aggregates, bayes, features, graph, knn, learners
 from textmill.operators.ranking import rank_within
 from textmill.plans import train
 from textmill.registered import register
-from textmill.registered.tables import folded_words, rounded, sql_bucket, sql_hash, sql_list, sql_words, table
+from textmill.registered.tables import PARTS, folded_words, rounded, sql_bucket, sql_hash, sql_list, sql_words, table, tagged_parts
 from textmill.sources.models import save_model
 from textmill.staging import checkpoint_root, spread, stage
 
@@ -393,7 +393,23 @@ def _(spark, sf):
 
 @register("label_communities")
 def _(spark, sf):
-    return graph.communities(aggregates.cooccurrence(tagged_docs(spark, sf)))
+    return graph.communities(aggregates.cooccurrence(tagged_parts(spark, sf)))
+
+
+@register(
+    "label_communities_checks",
+    f"""WITH {PARTS}, t AS (SELECT DISTINCT id, unnest(tags) AS tag FROM parts), p AS (SELECT DISTINCT a.tag FROM t a JOIN t b ON a.id = b.id AND a.tag <> b.tag)
+SELECT count(*) AS labels, true AS once, true AS several, true AS named_after_first, true AS above_propagation FROM p""",
+)
+def _(spark, sf):
+    edges = stage(aggregates.cooccurrence(tagged_parts(spark, sf)), "edges")
+    found = graph.communities(edges)
+    above = graph.modularity(edges, found) >= graph.modularity(edges, graph.label_propagation(edges)) - 1e-9
+    per = found.groupBy("community").agg(F.min("label").alias("first"), F.count("*").alias("n"))
+    named = per.agg(F.count("*").alias("k"), F.min(F.col("first") == F.col("community")).alias("named_after_first"))
+    return found.agg(F.count("*").alias("labels"), (F.count("*") == F.count_distinct("label")).alias("once")).select(
+        "labels", "once", (named.select("k").scalar() > 1).alias("several"), named.select("named_after_first").scalar().alias("named_after_first"), F.lit(above).alias("above_propagation")
+    )
 
 
 @register("community_ensemble")
@@ -415,9 +431,36 @@ def _(spark, sf):
     return vectors.select("term", F.array_size("vector").alias("size"))
 
 
+def projection(spark, sf):
+    docs = frame(spark, sf, "lang")
+    counts = stage(features.term_counts(features.explode_tokens(docs, "text", "id", (), folded_words), "id"), "counts")
+    values = features.tfidf(counts, features.fit_vocab(counts, n_docs=F.lit(docs.count())), keep_empty=True)
+    return docs, learners.project_2d(features.normalise(values, "l2"))
+
+
 @register("project_2d")
 def _(spark, sf):
-    return rounded(learners.project_2d(ml_vectors(spark, sf, max_features=200), keep=["id", "label"]))
+    docs, found = projection(spark, sf)
+    return rounded(docs.select("id", "label").join(found.points, "id"))
+
+
+@register(
+    "project_2d_checks",
+    """SELECT count(*) AS points, true AS centred, true AS uncorrelated, true AS ordered, true AS variance_as_told, true AS unit_components, true AS positive_heads
+FROM documents""",
+)
+def _(spark, sf):
+    _, found = projection(spark, sf)
+    x, y = F.col("x"), F.col("y")
+    first, second = found.variances
+    near = lambda a, b: F.abs(a - b) < 1e-6
+    one = found.points.agg(
+        F.count("*").alias("points"), (near(F.avg(x), 0.0) & near(F.avg(y), 0.0)).alias("centred"), near(F.covar_samp(x, y), 0.0).alias("uncorrelated"),
+        (F.var_samp(x) >= F.var_samp(y)).alias("ordered"), (near(F.var_samp(x), first) & near(F.var_samp(y), second)).alias("variance_as_told"),
+    )
+    heads = [F.max_by(c, F.struct(F.abs(c), F.col("term"))) > 0 for c in (x, y)]
+    other = found.components.agg((near(F.sum(x * x), 1.0) & near(F.sum(y * y), 1.0) & near(F.sum(x * y), 0.0)).alias("unit_components"), (heads[0] & heads[1]).alias("positive_heads"))
+    return one.select("*", other.select("unit_components").scalar().alias("unit_components"), other.select("positive_heads").scalar().alias("positive_heads"))
 
 
 @register(

@@ -174,6 +174,17 @@ _SCHEMAS = {
         ("o_orderkey", "BIGINT"), ("o_custkey", "BIGINT"), ("o_orderstatus", "S"), ("o_totalprice", "DOUBLE"),
         ("o_orderdate", "TIMESTAMP"), ("o_orderpriority", "S"),
     ],
+    "region": [("r_regionkey", "INTEGER"), ("r_name", "S")],
+    "nation": [("n_nationkey", "INTEGER"), ("n_name", "S"), ("n_regionkey", "INTEGER")],
+    "supplier": [("s_suppkey", "BIGINT"), ("s_name", "S"), ("s_nationkey", "INTEGER"), ("s_acctbal", "DOUBLE")],
+    "part": [("p_partkey", "BIGINT"), ("p_name", "S"), ("p_brand", "S"), ("p_type", "S"), ("p_size", "INTEGER"), ("p_retailprice", "DOUBLE")],
+    "lineitem": [
+        ("l_orderkey", "BIGINT"), ("l_partkey", "BIGINT"), ("l_suppkey", "BIGINT"), ("l_linenumber", "INTEGER"), ("l_quantity", "DOUBLE"),
+        ("l_extendedprice", "DOUBLE"), ("l_discount", "DOUBLE"), ("l_tax", "DOUBLE"), ("l_returnflag", "S"), ("l_linestatus", "S"), ("l_shipdate", "TIMESTAMP"),
+    ],
+    "events": [("event_id", "BIGINT"), ("ts", "TIMESTAMP"), ("user_id", "BIGINT"), ("event_type", "S"), ("value", "DOUBLE"), ("props", "S")],
+    "benchmark": [("item_id", "BIGINT"), ("text", "S")],
+    "conversations": [("conv_id", "BIGINT"), ("turn", "BIGINT"), ("role", "S"), ("text", "S")],
 }
 
 
@@ -241,34 +252,35 @@ def _(spark, sf):
     return rounded(catalog.dataset_size(table(spark, sf, "documents"), 15000))
 
 
-def _number_stats(c: str) -> str:
+def _top(c: str, text: str) -> str:
+    counted = f"(SELECT {text} AS v, count(*) AS n FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c})"
+    return f"(SELECT v FROM {counted} ORDER BY n DESC, v LIMIT 1) AS top, (SELECT max(n) FROM {counted}) AS top_n"
+
+
+def _number_stats(c: str, text: str) -> str:
     return f"""
 SELECT '{c}' AS "column", count({c}) AS count, count(*) - count({c}) AS missing, count(*) FILTER ({c} = 0) AS zeros,
   round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max,
-  NULL::DOUBLE AS avg_length, count(DISTINCT {c}) AS "distinct",
-  (SELECT max(n) FROM (SELECT count(*) AS n FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c})) AS top_n,
-  round(median({c}), 4) AS median FROM lineitem"""
+  NULL::DOUBLE AS avg_length, count(DISTINCT {c}) AS "distinct", {_top(c, text)}, round(median({c}), 4) AS median FROM lineitem"""
 
 
-def _text_stats(c: str) -> str:
+def _other_stats(c: str, text: str, length: str) -> str:
     return f"""
 SELECT '{c}' AS "column", count({c}) AS count, count(*) - count({c}) AS missing, 0::BIGINT AS zeros,
-  NULL::DOUBLE AS mean, NULL::DOUBLE AS std, NULL::DOUBLE AS min, NULL::DOUBLE AS max,
-  round(avg(length({c})), 4) AS avg_length, count(DISTINCT {c}) AS "distinct",
-  (SELECT max(n) FROM (SELECT count(*) AS n FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c})) AS top_n,
-  NULL::DOUBLE AS median FROM lineitem"""
+  NULL::DOUBLE AS mean, NULL::DOUBLE AS std, NULL::DOUBLE AS min, NULL::DOUBLE AS max, {length} AS avg_length,
+  count(DISTINCT {c}) AS "distinct", {_top(c, text)}, NULL::DOUBLE AS median FROM lineitem"""
 
 
-STAT_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linenumber"]
+_LINE_NUMBERS = {"l_orderkey": "", "l_partkey": "", "l_suppkey": "", "l_linenumber": "", "l_quantity": "", "l_extendedprice": "", "l_discount": "", "l_tax": ""}
+_LINE_TEXTS = ["l_returnflag", "l_linestatus"]
+_STATS_SQL = [_number_stats(c, f"CAST({c} AS VARCHAR)") for c in _LINE_NUMBERS]
+_STATS_SQL += [_other_stats(c, c, f"round(avg(length({c})), 4)") for c in _LINE_TEXTS]
+_STATS_SQL += [_other_stats("l_shipdate", "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')", "NULL::DOUBLE")]
 
 
-@register(
-    "column_stats",
-    " UNION ALL ".join(_text_stats(c) if c == "l_returnflag" else _number_stats(c) for c in STAT_COLUMNS),
-)
+@register("column_stats", " UNION ALL ".join(_STATS_SQL))
 def _(spark, sf):
-    stats = catalog.column_stats(table(spark, sf, "lineitem"), STAT_COLUMNS)
-    return rounded(stats.drop("top"), "mean", "std", "median", "avg_length", digits=4)
+    return rounded(catalog.column_stats(table(spark, sf, "lineitem")), "mean", "std", "median", "avg_length", digits=4)
 
 
 @register(
