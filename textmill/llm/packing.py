@@ -36,7 +36,7 @@ TOKENIZER_FILE = public_tokenizers.path("word_bpe_49k.json")
 MAX_TOKENS = 2048
 CLOSING_ID = 1
 #: Entries of each generation of a worker's memory of words; old ones are forgotten and computed again when needed.
-REMEMBERED = 250_000
+REMEMBERED = 170_000
 
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(f"[!-&(-~{_LATIN}]+")

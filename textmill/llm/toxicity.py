@@ -268,7 +268,7 @@ class ToxicityModel:
             for edges, cut in ((starts, slice(_EDGES[0])), (ends, slice(-_EDGES[0], None))):
                 for edge in list(edges):
                     edges.setdefault(edge[cut], None)
-            runs = self._runs = KnownRuns(lambda new: self._selected_of(new, words, starts, ends), 250_000)
+            runs = self._runs = KnownRuns(lambda new: self._selected_of(new, words, starts, ends), 100_000)
         seen = [Counter(text.encode().split()) for text in texts]
         runs.learn(set().union(*seen))
         counted = []
