@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 
 from textmill.llm import bitslice, crosspolytope, simhash
@@ -195,3 +196,16 @@ def test_links_join_the_same_components(spark):
         for i, _, c in want:
             same[c].add(i)
         assert sorted(map(sorted, groups.values())) == sorted(map(sorted, same.values()))
+
+
+@pytest.mark.parametrize("n", [1, 2, 6, 12, 25])
+def test_few_vectors_are_searched_exactly(spark, n):
+    rng = np.random.default_rng(n)
+    points = rng.normal(size=(n, 64))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.rank): r.vec_id for r in crosspolytope.nearest(df, df, "vec_id", "embedding", 10).collect()}
+    want = {}
+    for q in range(n):
+        others = sorted((float(np.sqrt(np.square(points[i] - points[q]).sum())), i) for i in range(n) if i != q)[:10]
+        want |= {(q, rank): i for rank, (_, i) in enumerate(others, 1)}
+    assert got == want

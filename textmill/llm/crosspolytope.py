@@ -25,6 +25,8 @@ from textmill.staging import stage
 TABLES, PROBES, TOP, SEED = 8, 12, 10, 20_240_501
 #: Vectors of one part of a bucket.
 PART_ROWS = 4_096
+#: A query meets at least so many vectors for each row that it returns.
+LEAST_MET = 8
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -83,7 +85,9 @@ def nearest(
 
     Rows without id and vectors that are null, zero or hold null or non-finite components take no part; a shorter vector
     counts as filled with zeros. Ties go to the smaller id. Rows repeated with id and vector count once; of several query rows
-    with one id the smallest vector is the query. A query gets fewer than k rows where its buckets hold fewer.
+    with one id the smallest vector is the query. A query whose probes in the first table meet fewer than ``LEAST_MET * k``
+    vectors probes all axes of that table, which hold every vector once, so it gets the exact k nearest, or all where there
+    are fewer. Every other query meets enough vectors for k rows.
     """
     double = F.transform(vector, lambda x: x.cast("double") + F.lit(0.0))  # turns -0.0 into 0.0
     usable = usable_vector(vector, zero=False) & F.col(id_column).isNotNull()
@@ -104,16 +108,17 @@ def nearest(
     members = stage(hashed(distinct.select("ids", "vector"), width, tables, 1, seed), "hashed-vectors")
     in_tables = members.select("ids", "vector", F.posexplode("axes").alias("table", "axis")).withColumn("axis", F.element_at("axis", 1))
     # one row per table and axis
-    parts = in_tables.groupBy("table", "axis").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))
+    parts = in_tables.groupBy("table", "axis").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"), F.count("*").alias("rows"))
     sizes = F.broadcast(parts)
     spread = in_tables.join(sizes, ["table", "axis"]).withColumn("part", F.pmod(F.xxhash64("vector"), F.col("parts")).cast("int"))
-    probed = (
-        hashed(asked, width, tables, probes, seed)
-        .select("id", "vector", F.posexplode("axes").alias("table", "near"))
-        .select("id", "vector", "table", F.explode("near").alias("axis"))
-        .join(sizes, ["table", "axis"])
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    )
+    near = hashed(asked, width, tables, probes, seed).select("id", "vector", F.posexplode("axes").alias("table", "near"))
+    probed = stage(near.select("id", "vector", "table", F.explode("near").alias("axis")).join(sizes, ["table", "axis"]), "probes")
+    met = probed.where("table = 0").groupBy("id").agg(F.sum("rows").alias("met"))
+    short = asked.join(met, "id", "left").where(F.coalesce("met", F.lit(0)) < LEAST_MET * k).select("id", "vector")
+    short = short.select("id", "vector", F.lit(0).alias("table"), F.explode(F.sequence(F.lit(0), F.lit(2 * width - 1))).alias("axis")).join(sizes, ["table", "axis"])
+    # an axis that a short query has probed already is probed once
+    probed = probed.unionByName(short).groupBy("id", "table", "axis").agg(F.any_value("vector").alias("vector"), F.max("parts").alias("parts"))
+    probed = probed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     key = ["table", "axis", "part"]
 
     def one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
