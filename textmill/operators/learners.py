@@ -1,4 +1,4 @@
-"""pyspark.ml models on TF-IDF vectors: forest, linear SVM, one-vs-rest, powerset, word vectors, projection."""
+"""pyspark.ml models on TF-IDF vectors: forest, linear SVM, one-vs-rest, powerset, and the projection of sparse rows."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import (
-    CountVectorizer, ElementwiseProduct, IDF, IndexToString, NGram, Normalizer, StringIndexer, Word2Vec,
+    CountVectorizer, ElementwiseProduct, IDF, IndexToString, NGram, Normalizer, StringIndexer,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
@@ -195,19 +195,6 @@ def predict_community_ensemble(df: DataFrame, models: dict[str, LabelModel], key
     return out.select(key, tags, F.flatten(F.array(*[F.col(f"_p{i}") for i in range(len(models))])).alias("predicted"))
 
 
-def fit_word_vectors(
-    df: DataFrame, tokens: str = "tokens", size: int = 100, window: int = 5, min_count: int = 5, epochs: int = 5, seed: int = 1,
-    partitions: int = 1, step_size: float = 0.025,
-) -> DataFrame:
-    """(term, vector array<double>) trained by Spark's skip-gram Word2Vec (no sub-word n-grams)."""
-    trainer = Word2Vec(
-        vectorSize=size, windowSize=window, minCount=min_count, maxIter=epochs, seed=seed, numPartitions=partitions,
-        stepSize=step_size, inputCol=tokens, outputCol="_doc",
-    )
-    vectors = trainer.fit(df.select(tokens)).getVectors()
-    return vectors.select(F.col("word").alias("term"), vector_to_array("vector").alias("vector"))
-
-
 @dataclass
 class Projection:
     """``points`` (key, x, y), ``components`` (term, x, y of unit length) and the variances along them."""

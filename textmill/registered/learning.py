@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from textmill.functions.tags import powerset_label
-from textmill.operators import aggregates, bayes, features, graph, knn, learners, metrics, vote
+from textmill.operators import aggregates, bayes, embedding, features, graph, knn, learners, metrics, vote
 from textmill.operators.ranking import rank_within
 from textmill.plans import train
 from textmill.registered import register
@@ -424,11 +426,38 @@ def _(spark, sf):
     return predicted.select("id", F.array_join("predicted", "|").alias("predicted"))
 
 
+def word_vectors(spark, sf):
+    docs = table(spark, sf, "documents").select(folded_words(F.col("text")).alias("tokens"))
+    return embedding.fit_word_vectors(docs)
+
+
 @register("embed_train")
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select(folded_words(F.col("text")).alias("tokens"))
-    vectors = learners.fit_word_vectors(docs, size=10, min_count=20, epochs=1)
-    return vectors.select("term", F.array_size("vector").alias("size"))
+    model, vocab = word_vectors(spark, sf)
+    return model.vectors(vocab).select("term", "n", F.transform("vector", lambda x: F.round(x, 6)).alias("vector"))
+
+
+@register(
+    "embed_train_checks",
+    f"""WITH tok AS (SELECT unnest({sql_words('text')}) AS term FROM documents)
+SELECT count(*) AS terms, 100 AS size, true AS distinct_vectors, true AS neighbours_share_language FROM (SELECT term FROM tok GROUP BY term HAVING count(*) >= 5)""",
+)
+def _(spark, sf):
+    model, vocab = word_vectors(spark, sf)
+    vectors = stage(model.vectors(vocab), "vectors")
+    # words of one language, the most frequent of each: their nearest words should be of the same one
+    words = features.explode_tokens(frame(spark, sf, "lang"), "text", "id", ["label"], folded_words).filter(F.col("term").isNotNull())
+    per = words.groupBy("term", "label").agg(F.count("*").alias("n")).groupBy("term").agg(F.max_by("label", F.struct("n", "label")).alias("lang"), F.max("n").alias("most"), F.sum("n").alias("n"))
+    place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "term"))
+    told = {r["term"]: r["lang"] for r in per.filter(F.col("most") > 0.9 * F.col("n")).withColumn("place", place).filter("place <= 50").collect()}
+    near = embedding.nearest_words(vectors, list(told), list(told)).collect()
+    share = sum(told[r["term"]] == told[r["other"]] for r in near) / max(len(near), 1)
+    sizes = Counter(told.values())
+    chance = sum((n - 1) * n for n in sizes.values()) / max(len(told) * (len(told) - 1), 1)
+    return vectors.agg(
+        F.count("*").alias("terms"), F.max(F.array_size("vector")).alias("size"), (F.count_distinct("vector") > 0.9 * F.count("*")).alias("distinct_vectors"),
+        F.lit(share > (1 + chance) / 2).alias("neighbours_share_language"),
+    )
 
 
 def projection(spark, sf):

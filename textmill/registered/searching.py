@@ -29,7 +29,7 @@ def nb_study(train, test, params):
     docs = train.select("id", "label").distinct()
     norm = params.get("norm", "l2")
     model = bayes.fit_nb(
-        train, docs, alpha=params.get("alpha", 1.0), norm=None if norm == "None" else norm, max_features=500,
+        train, docs, alpha=params.get("alpha", 1.0), norm=None if norm == "None" else norm,
         min_df=params.get("min_df", 1), max_df=params.get("max_df", 1.0),
     )
     both = test.withColumn("side", F.lit("test")).unionByName(train.withColumn("side", F.lit("train")))
@@ -60,7 +60,7 @@ def _(spark, sf):
 
 @register("learning_curve")
 def _(spark, sf):
-    curve = search.learning_curve(folded_counts(spark, sf, 2), nb_study, {"alpha": 1.0}, folds=2, sizes=(0.1, 0.55, 1.0))
+    curve = search.learning_curve(folded_counts(spark, sf, 2), nb_study, {"alpha": 1.0}, folds=2)
     return rounded(curve)
 
 
