@@ -118,15 +118,26 @@ def shards_of(df: DataFrame, lang: str, text: str, shard_words: int = SHARD_WORD
 # -- the index -----------------------------------------------------------------------------------------------------------
 
 
+def _order(*columns: np.ndarray) -> np.ndarray:
+    """Stable order of the rows by the columns, 16 bits at a time from the last ones, for which there is a radix sort."""
+    order = None
+    for column in reversed(columns):
+        shift, largest = 0, int(column.max(initial=0))
+        while not shift or largest >> shift:
+            digit = ((column >> shift) & 0xFFFF).astype(np.uint16)
+            order = np.argsort(digit, kind="stable") if order is None else order[np.argsort(digit[order], kind="stable")]
+            shift += 16
+    return order
+
+
 def transform(ids: np.ndarray, depth: int = MAX_WORDS) -> np.ndarray:
     """Burrows-Wheeler transform of ``ids`` (0 at both ends): rotations sorted by their first ``depth`` symbols at least."""
-    rank, width, order = ids.astype(np.int64), 1, np.argsort(ids, kind="stable")
-    while width < depth:
+    rank, width, order = ids.astype(np.int64), 1, None
+    while order is None or width < depth:
         follower = np.concatenate([rank[width:], np.zeros(width, dtype=np.int64)])[: len(rank)]
-        key = rank * (rank.max() + 1) + follower
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        rank[order] = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
+        order = _order(rank, follower)
+        first, second = rank[order], follower[order]
+        rank[order] = np.concatenate([[0], np.cumsum((first[1:] != first[:-1]) | (second[1:] != second[:-1]))])
         width *= 2
     return ids[order - 1].astype(np.int32)
 
@@ -140,7 +151,7 @@ class Index:
         self.steps = []
         for side in self.sides:
             step = np.empty(len(side), dtype=np.int32 if len(side) < 1 << 31 else np.int64)
-            step[np.argsort(side, kind="stable")] = np.arange(len(side), dtype=step.dtype)
+            step[_order(side)] = np.arange(len(side), dtype=step.dtype)
             self.steps.append(step)
 
     def words(self) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
