@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import re
+
 from pyspark.sql import functions as F
 
 from textmill.functions import lexicon, numeric
 from textmill.functions import tags as T
 from textmill.functions import text as X
+from textmill.operators.records import map_records
 from textmill.plans.clean import clean_posts
 from textmill.registered import register
 from textmill.registered.tables import (
@@ -307,3 +312,41 @@ def _(spark, sf):
     # each distinct word is lemmatised once
     counted = words.groupBy("term").agg(F.count("*").alias("n"))
     return counted.groupBy(X.lemma(F.col("term")).alias("lemma")).agg(F.sum("n").alias("n"))
+
+
+class Paragraphs:
+    """Record function: one row per closed paragraph of a page; a page that leaves more than ``most`` paragraphs open is an error."""
+
+    def __init__(self, most: int):
+        self.most = most
+
+    def setup(self) -> None:
+        self.invisible, self.paragraph = re.compile(X.INVISIBLE), re.compile(r"(?s)<p>(.*?)</p>")
+
+    def process(self, row):
+        html = self.invisible.sub("", row["html"] or "")
+        left = html.count("<p>") - html.count("</p>")
+        for text in self.paragraph.findall(html):
+            yield {"n_chars": len(text), "digest": hashlib.md5(text.encode()).hexdigest()}
+        if left > self.most:
+            raise ValueError(f"{left} paragraphs are left open")
+
+
+@register(
+    "map_records",
+    f"""
+WITH v AS (SELECT page_id, {sql_visible('html')} AS html FROM pages),
+c AS (SELECT page_id, regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1) AS found,
+  (length(html) - length(replace(html, '<p>', ''))) // 3 - (length(html) - length(replace(html, '</p>', ''))) // 4 AS open FROM v),
+r AS (SELECT page_id, unnest(found) AS text, unnest(range(len(found))) AS place FROM c WHERE open <= 3)
+SELECT page_id, 'record' AS kind, place, length(text) AS n, md5(text) AS said, NULL AS cost FROM r UNION ALL
+SELECT page_id, 'outcome', NULL, CASE WHEN open <= 3 THEN len(found) ELSE 0 END,
+  CASE WHEN open > 3 THEN 'ValueError: ' || open || ' paragraphs are left open' END, 'TIME-OK' FROM c
+""",
+)
+def _(spark, sf):
+    pages = spread(table(spark, sf, "pages").select("page_id", "html"))
+    mapped = map_records(pages, functools.partial(Paragraphs, 3), "n_chars bigint, digest string", "page_id")
+    records = mapped.records().select("page_id", F.lit("record").alias("kind"), "place", F.col("n_chars").alias("n"), F.col("digest").alias("said"), F.lit(None).cast("string").alias("cost"))
+    outcomes = mapped.outcomes().select("page_id", F.lit("outcome").alias("kind"), F.lit(None).cast("bigint").alias("place"), "n", F.col("error").alias("said"), "cost")
+    return records.unionByName(outcomes)
