@@ -92,19 +92,22 @@ class MeanEmbedding(Transformer, _HasKey, HasInputCol, HasOutputCol):
 class SoftVote(Estimator, _HasKey, HasLabelCol):
     """Find vote weights on long probabilities (key, truth, model, label, p)."""
 
-    steps = Param(Params._dummy(), "steps", "grid steps between 0 and 1", TypeConverters.toInt)
+    steps = Param(Params._dummy(), "steps", "grid steps between 0 and 1; 0 searches locally, for many models", TypeConverters.toInt)
+    scorer = Param(Params._dummy(), "scorer", "name of the score to optimise", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, keyCol: str = "id", labelCol: str = "truth", steps: int = 10):
+    def __init__(self, *, keyCol: str = "id", labelCol: str = "truth", steps: int = 10, scorer: str = "accuracy"):
         super().__init__()
-        self._setDefault(keyCol="id", labelCol="truth", steps=10)
+        self._setDefault(keyCol="id", labelCol="truth", steps=10, scorer="accuracy")
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> SoftVoteModel:
         names = [r[0] for r in dataset.select("model").distinct().orderBy("model").collect()]
-        grid = vote.weight_grid(len(names), self.getOrDefault(self.steps))
-        scores = vote.score_vote_weights(dataset, names, grid, self.key(), self.getLabelCol())
-        return SoftVoteModel(vote.fit_vote_weights(scores, names), self.key())
+        steps, scorer = self.getOrDefault(self.steps), self.getOrDefault(self.scorer)
+        if not steps:
+            return SoftVoteModel(vote.search_vote_weights(dataset, names, self.key(), self.getLabelCol(), scorer)[0], self.key())
+        scores = vote.score_vote_weights(dataset, names, vote.weight_grid(len(names), steps), self.key(), self.getLabelCol(), scorer)
+        return SoftVoteModel(vote.fit_vote_weights(scores, names, scorer), self.key())
 
 
 class SoftVoteModel(Model):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.tags import build_tag, first_label
 from textmill.functions.text import model_text
-from textmill.operators import bayes, features, learners, metrics
+from textmill.operators import bayes, features, learners, metrics, vote
 from textmill.operators.splits import hash_sample, with_split
 from textmill.staging import stage
 
@@ -75,6 +75,19 @@ def nb_predictions(frame: DataFrame, params: TrainParams = TrainParams()) -> tup
     return model, bayes.predict_proba(counts, model, "id", ["label", "split"])
 
 
+def nb_member(alpha: float = 1.0, norm: str | None = "l2", use_idf: bool = True, key: str = "id", label: str = "label", **vocab_params) -> vote.Member:
+    """Naive Bayes as a member of a voting ensemble whose rows are term counts (key, label, term, tf)."""
+
+    def fit(counts: DataFrame) -> bayes.LinearModel:
+        docs = counts.select(key, label).distinct()
+        return bayes.fit_nb(counts, docs, label, key, alpha, norm, use_idf, **vocab_params)
+
+    def probabilities(model: bayes.LinearModel, counts: DataFrame) -> DataFrame:
+        return bayes.long_probabilities(bayes.predict_proba(counts, model, key), model.classes, "nb", key)
+
+    return vote.Member(fit, probabilities)
+
+
 def split_scores(predictions: DataFrame) -> DataFrame:
     """(split, n, accuracy, balanced_accuracy) from one pass over the predictions."""
     right = F.count_if(F.col("label").eqNullSafe(F.col("predicted"))).alias("right")

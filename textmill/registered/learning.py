@@ -26,11 +26,11 @@ def frame(spark, sf, label: str = "source"):
     return table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col(label).alias("label"), "text")
 
 
-def nb_sql(label: str = "source", norm: str = "l2", idf: bool = True, alpha: float = 1.0, top: int | None = PARAMS.max_features, p: str = "", min_df: int = 1) -> str:
+def nb_sql(label: str = "source", norm: str = "l2", idf: bool = True, alpha: float = 1.0, top: int | None = PARAMS.max_features, p: str = "", min_df: int = 1, held: str = "") -> str:
     """CTEs up to ``{p}pred`` (id, label, split, predicted) and ``{p}proba`` (id, label, split, cls, pr)."""
     weight = {"l2": "v / sqrt(sum(v * v) OVER (PARTITION BY id))", "l1": "v / sum(v) OVER (PARTITION BY id)", "none": "v"}[norm]
     return f"""
-{p}docs AS (SELECT doc_id AS id, {label} AS label, text, CASE WHEN {sql_bucket('doc_id')} < {EVAL} THEN 'eval' ELSE 'train' END AS split FROM documents),
+{p}docs AS (SELECT doc_id AS id, {label} AS label, text, CASE WHEN {sql_bucket('doc_id')} < {EVAL} THEN 'eval' {held} ELSE 'train' END AS split FROM documents),
 {p}tok AS (SELECT id, label, split, unnest({sql_words('text')}) AS term FROM {p}docs),
 {p}tf AS (SELECT id, label, split, term, count(*) AS tf FROM {p}tok GROUP BY ALL),
 {p}n AS (SELECT count(*)::DOUBLE AS n FROM {p}docs WHERE split = 'train'),
@@ -289,6 +289,62 @@ def _(spark, sf):
     return rounded(scores.select("candidate", "accuracy"))
 
 
+# the third of the training part that the voting ensemble holds back to find its weights
+_HELD = f"WHEN {sql_bucket('doc_id', 10000, '15')} < 3300 THEN 'held'"
+_ENSEMBLE = f"""{nb_sql('lang', 'l2', True, 1.0, None, 'a_', held=_HELD)}, {nb_sql('lang', 'none', False, 0.5, None, 'b_', held=_HELD)},
+g AS (SELECT unnest(generate_series(0, 10)) AS candidate),
+x AS (SELECT candidate, a.id, a.split, a.label, a.cls, candidate / 10.0::DOUBLE * a.pr + (10 - candidate) / 10.0::DOUBLE * b.pr AS p
+  FROM g CROSS JOIN a_proba a JOIN b_proba b ON a.id = b.id AND a.cls = b.cls WHERE a.split <> 'train'),
+r AS (SELECT *, row_number() OVER (PARTITION BY candidate, id ORDER BY round(p, 12) DESC, cls) AS k FROM x),
+recalls AS (SELECT candidate, label, avg(CASE WHEN cls = label THEN 1.0 ELSE 0.0 END) AS recall FROM r WHERE k = 1 AND split = 'held' GROUP BY ALL),
+best AS (SELECT candidate FROM recalls GROUP BY candidate ORDER BY round(avg(recall), 12) DESC, candidate LIMIT 1)"""
+
+
+@register(
+    "voting_ensemble",
+    f"WITH {_ENSEMBLE} SELECT id, cls AS predicted, round(p, 6) AS p FROM r JOIN best USING (candidate) WHERE k = 1 AND split = 'eval'",
+)
+def _(spark, sf):
+    counts = train.staged_counts(train.split_frame(frame(spark, sf, "lang"), PARAMS), PARAMS)
+    members = {"a": train.nb_member(), "b": train.nb_member(alpha=0.5, norm=None, use_idf=False)}
+    training = F.col("split") == "train"
+    model = vote.fit_voting(counts.filter(training), members, scorer="balanced_accuracy", candidates=vote.weight_grid(2, 10))
+    return rounded(model.predict(counts.filter(~training)))
+
+
+_SEARCHED = ("accuracy", "balanced_accuracy", "f1_macro")
+
+
+@register(
+    "vote_weight_search",
+    f"""WITH {_TWO}, g(name, w) AS (VALUES ('a', 1.0::DOUBLE), ('b', 0.0::DOUBLE), ('equal', 0.5::DOUBLE)),
+x AS (SELECT name, a.id, a.label, a.cls, w * a.pr + (1 - w) * b.pr AS p
+  FROM g CROSS JOIN a_proba a JOIN b_proba b ON a.id = b.id AND a.cls = b.cls WHERE a.split = 'eval'),
+r AS (SELECT name, label, cls FROM x QUALIFY row_number() OVER (PARTITION BY name, id ORDER BY round(p, 12) DESC, cls) = 1),
+n AS (SELECT name, label, count(*) AS n, count(*) FILTER (cls = label) AS tp FROM r GROUP BY ALL),
+m AS (SELECT name, cls AS label, count(*) AS m FROM r GROUP BY ALL),
+f AS (SELECT name, coalesce(2 * n.tp / (coalesce(n.n, 0) + coalesce(m.m, 0)), 0) AS f1 FROM n FULL JOIN m USING (name, label)),
+s AS (SELECT name, 'accuracy' AS scorer, sum(tp) / sum(n) AS score FROM n GROUP BY name UNION ALL
+  SELECT name, 'balanced_accuracy', avg(tp / n) FROM n GROUP BY name UNION ALL SELECT name, 'f1_macro', avg(f1) FROM f GROUP BY name)
+SELECT name, scorer, round(score, 6) AS score, true AS not_below, true AS same_score, true AS unit_sum FROM s""",
+)
+def _(spark, sf):
+    probs = two_models(spark, sf)
+    named = spark.createDataFrame([(0, "a"), (1, "b"), (2, "equal")], "candidate bigint, name string")
+    parts = []
+    for scorer in _SEARCHED:
+        weights, found = vote.search_vote_weights(probs, ["a", "b"], scorer=scorer)
+        again = metrics.score(vote.vote(probs, weights, keep=["truth"]), scorer)
+        alone = vote.score_vote_weights(probs, ["a", "b"], [(1.0, 0.0), (0.0, 1.0), (0.5, 0.5)], scorer=scorer)
+        parts.append(
+            alone.join(named, "candidate").select(
+                "name", F.lit(scorer).alias("scorer"), F.col(scorer).alias("score"), (F.lit(found) >= F.round(scorer, 12)).alias("not_below"),
+                F.lit(abs(again - found) < 1e-9).alias("same_score"), F.lit(abs(sum(weights.values()) - 1) < 1e-9).alias("unit_sum"),
+            )
+        )
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
 # ---- mini-batches ---------------------------------------------------------------------------------------------------
 
 BATCH_ROWS = 218
