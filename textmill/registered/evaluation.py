@@ -274,3 +274,44 @@ SELECT round((tp + tn) / (tn + fp + fn + tp), 6) AS accuracy, round(tp / (tp + f
 )
 def _(spark, sf):
     return rounded(metrics.metric_panel(binary(spark, sf)))
+
+
+# every scorer by name over two-class guesses made from lineitem columns
+@register(
+    "scorer_by_name",
+    """
+WITH p AS (SELECT CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END AS t, CASE WHEN l_tax > 0.04 THEN 1 ELSE 0 END AS g, CAST(l_tax * 10 AS DOUBLE) AS s FROM lineitem),
+c AS (SELECT count(*)::DOUBLE AS n, sum(t * g)::DOUBLE AS tp, sum((1 - t) * g)::DOUBLE AS fp, sum(t * (1 - g))::DOUBLE AS fn, sum((1 - t) * (1 - g))::DOUBLE AS tn,
+  avg((t - g) * (t - g)) AS mse, var_pop(t) AS spread,
+  avg(-ln(CASE WHEN t = 1 THEN least(greatest(s, 1e-15), 1 - 1e-15) ELSE 1 - least(greatest(s, 1e-15), 1 - 1e-15) END)) AS loss FROM p),
+q AS (SELECT *, tp / (tp + fp) AS pr, tp / (tp + fn) AS re, ((tp + fn) * (tp + fp) + (tn + fp) * (tn + fn)) / (n * n) AS pe FROM c),
+h AS (SELECT s, sum(t)::DOUBLE AS pos, sum(1 - t)::DOUBLE AS neg FROM p GROUP BY s),
+k AS (SELECT *, sum(pos) OVER (ORDER BY s DESC) AS ap, sum(neg) OVER (ORDER BY s DESC) AS an FROM h),
+a AS (SELECT sum(neg * (ap - pos / 2)) / (sum(pos) * sum(neg)) AS area, sum(pos * ap / (ap + an)) / sum(pos) AS precision FROM k)
+SELECT 'accuracy' AS scorer, round((tp + tn) / n, 6) AS score FROM q
+UNION ALL SELECT 'balanced_accuracy', round((re + tn / (tn + fp)) / 2, 6) FROM q
+UNION ALL SELECT 'kappa', round(((tp + tn) / n - pe) / (1 - pe), 6) FROM q
+UNION ALL SELECT 'f1', round(2 * tp / (2 * tp + fp + fn), 6) FROM q
+UNION ALL SELECT 'precision', round(pr, 6) FROM q
+UNION ALL SELECT 'recall', round(re, 6) FROM q
+UNION ALL SELECT 'f1_macro', round((2 * tp / (2 * tp + fp + fn) + 2 * tn / (2 * tn + fp + fn)) / 2, 6) FROM q
+UNION ALL SELECT 'roc_auc', round(area, 6) FROM a
+UNION ALL SELECT 'average_precision', round(precision, 6) FROM a
+UNION ALL SELECT 'log_loss', round(loss, 6) FROM q
+UNION ALL SELECT 'mean_squared_error', round(mse, 6) FROM q
+UNION ALL SELECT 'r2', round(1 - mse / spread, 6) FROM q
+""",
+)
+def _(spark, sf):
+    lines = table(spark, sf, "lineitem")
+    guesses = lines.select(
+        (F.col("l_discount") > 0.05).cast("int").alias("truth"), (F.col("l_tax") > 0.04).cast("int").alias("predicted"),
+        (F.col("l_tax") * 10).cast("double").alias("score"),
+    )
+    guesses = stage(guesses, "guesses")
+    rows = None
+    for name, scorer in metrics.SCORERS.items():
+        value = scorer(guesses)
+        row = value.select(F.lit(name).alias("scorer"), F.col(value.columns[0]).cast("double").alias("score"))
+        rows = row if rows is None else rows.unionByName(row)
+    return rounded(rows)
