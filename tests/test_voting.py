@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textmill.operators import vote
-from textmill.operators.estimators import SoftVote
+from textmill.operators.estimators import SoftVote, TextNaiveBayes
 from textmill.operators.splits import random_split
 
 LABELS = ["0", "1"]
@@ -144,3 +144,16 @@ def test_estimator_with_a_score(spark):
         model = SoftVote(steps=steps, scorer="f1").fit(probs)
         assert sum(model.weights.values()) == pytest.approx(1)
         assert model.transform(probs).count() == 60
+
+
+def test_vocabulary_parameters(spark):
+    rows = [(1, "red apple pie", "a"), (2, "red apple", "a"), (3, "red blue sky", "b"), (4, "red blue", "b")]
+    docs = spark.createDataFrame(rows, "id int, text string, label string")
+
+    def terms(**kw):
+        return {r.term for r in TextNaiveBayes(**kw).fit(docs).model.weights.collect()}
+
+    assert terms() == {"red", "apple", "pie", "blue", "sky"}
+    assert terms(minDf=2.0) == {"red", "apple", "blue"} == terms(minDf=0.5)
+    assert terms(maxDf=0.9) == {"apple", "pie", "blue", "sky"} and terms(maxDf=2.0) == terms(maxDf=0.9)
+    assert terms(maxFeatures=1) == {"red"}

@@ -21,6 +21,10 @@ class _HasKey(Params):
         return self.getOrDefault(self.keyCol)
 
 
+def _count_or_share(value: float) -> float | int:
+    return int(value) if value > 1 else value
+
+
 class TextCleaner(Transformer, HasInputCol, HasOutputCol):
     """Clean text column to clean text column."""
 
@@ -39,14 +43,19 @@ class TextNaiveBayes(Estimator, _HasKey, HasInputCol, HasLabelCol):
     alpha = Param(Params._dummy(), "alpha", "additive smoothing", TypeConverters.toFloat)
     norm = Param(Params._dummy(), "norm", "row norm: l1, l2 or None", TypeConverters.toString)
     tokenizer = Param(Params._dummy(), "tokenizer", "tokenizer name", TypeConverters.toString)
+    minDf = Param(Params._dummy(), "minDf", "smallest document frequency: a count, or a share below 1", TypeConverters.toFloat)
+    maxDf = Param(Params._dummy(), "maxDf", "largest document frequency: a count, or a share up to 1", TypeConverters.toFloat)
+    maxFeatures = Param(Params._dummy(), "maxFeatures", "most frequent terms that are kept; 0 keeps all", TypeConverters.toInt)
 
     @keyword_only
     def __init__(
         self, *, keyCol: str = "id", inputCol: str = "text", labelCol: str = "label", alpha: float = 1.0, norm: str = "l2",
-        tokenizer: str = "words",
+        tokenizer: str = "words", minDf: float = 1.0, maxDf: float = 1.0, maxFeatures: int = 0,
     ):
         super().__init__()
-        self._setDefault(keyCol="id", inputCol="text", labelCol="label", alpha=1.0, norm="l2", tokenizer="words")
+        self._setDefault(
+            keyCol="id", inputCol="text", labelCol="label", alpha=1.0, norm="l2", tokenizer="words", minDf=1.0, maxDf=1.0, maxFeatures=0
+        )
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> TextNaiveBayesModel:
@@ -55,7 +64,9 @@ class TextNaiveBayes(Estimator, _HasKey, HasInputCol, HasLabelCol):
         tokens = features.explode_tokens(dataset, text, key, [label], how)
         counts = stage(features.term_counts(tokens, key, [label]), "counts")
         model = bayes.fit_nb(
-            counts, dataset.select(key, label), label, key, self.getOrDefault(self.alpha), self.getOrDefault(self.norm)
+            counts, dataset.select(key, label), label, key, self.getOrDefault(self.alpha), self.getOrDefault(self.norm),
+            min_df=_count_or_share(self.getOrDefault(self.minDf)), max_df=_count_or_share(self.getOrDefault(self.maxDf)),
+            max_features=self.getOrDefault(self.maxFeatures) or None,
         )
         return TextNaiveBayesModel(model, key, text, how)
 
