@@ -1,14 +1,17 @@
 """Joins by inverted index and running counts, against plain loops."""
 
+import glob
 import math
 import random
 from collections import Counter, defaultdict
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from textmill.operators import aggregates, bayes, features, knn
 from textmill.operators.ranking import global_rank
+from textmill.staging import checkpoint_root
 
 
 def packed(spark, rows):
@@ -119,3 +122,22 @@ def test_ranks_of_ties_and_nothing(spark):
     assert global_rank(df.filter("false"), ["a"]).collect() == []
     vocab = features.index_vocab(df.select(F.col("b").alias("term")).distinct())
     assert [r.term for r in vocab.orderBy("idx").collect()] == sorted(str(i) for i in range(1_000))
+
+
+def test_history_writes_rows_in_proportion_to_its_input(spark):
+    """Twice the batches and twice the test rows are twice the rows written, not four times."""
+    folder = f"{checkpoint_root(spark)}/textmill/{spark.sparkContext.applicationId}"
+
+    def written():
+        return sum(pq.read_metadata(f).num_rows for f in glob.glob(f"{folder}/*/*.parquet"))
+
+    def history_rows(n):
+        rows = [(i, f"c{i % 3}", i, [f"w{i % 7}", f"w{i % 11}"], [1, 2]) for i in range(n)]
+        train = spark.createDataFrame(rows, "id long, label string, batch long, terms array<string>, tfs array<long>")
+        test, before = train.filter("id % 2 = 0").drop("batch").select("id", "label", F.explode(F.arrays_zip("terms", "tfs")).alias("e")), written()
+        test = test.groupBy("id", "label", F.col("e.terms").alias("term")).agg(F.sum("e.tfs").alias("tf"))
+        long = train.select("id", "label", "batch", F.explode(F.arrays_zip("terms", "tfs")).alias("e")).select("id", "label", "batch", F.col("e.terms").alias("term"), F.col("e.tfs").alias("tf"))
+        assert bayes.prequential(long, train.select("id", "label", "batch"), test, n // 2).count() == n
+        return written() - before
+
+    assert history_rows(480) < 2.5 * history_rows(240)
