@@ -5,7 +5,7 @@ import math
 import pytest
 
 from textmill.operators import bayes, features
-from textmill.staging import stage
+from textmill.staging import SPREAD_ROWS, spread, stage
 
 ROWS = [(1, "a", "x y x \u00e9\u00e9"), (1, "a", "x z"), (1, "b", "x w"), (2, "b", None), (None, "a", "y y"), (3, "b", ""), (4, None, "q x")]
 
@@ -44,3 +44,10 @@ def test_term_values_are_sums_of_the_normalised_rows(docs, norm):
     got = {(r.term, r.label): r.value for r in bayes.term_values(features.packed(long), vocab, ["label"], norm, "id").collect()}
     assert got.keys() == {(r.term, r.label) for r in rows}
     assert all(math.isclose(got[r.term, r.label], r["sum(value)"]) for r in rows)
+
+
+def test_spread_bounds_the_rows_of_a_partition(spark):
+    few = spark.range(100, numPartitions=1)
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread(few, 1).rdd.getNumPartitions() == 1
+    many = spread(spark.range(2 * SPREAD_ROWS * spark.sparkContext.defaultParallelism, numPartitions=1))
+    assert max(many.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()) <= 1.01 * SPREAD_ROWS

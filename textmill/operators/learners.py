@@ -35,11 +35,11 @@ class TfidfSteps:
 
     stages: PipelineModel
     text: str
-    tokenizer: str | Callable[[Column], Column]
+    tokenizer: str | Callable[[Column], Column] | None
     ngram_range: tuple[int, int]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        tokens = ngrams(tokenise(F.col(self.text), self.tokenizer), *self.ngram_range)
+        tokens = _tokens_of(self.text, self.tokenizer, self.ngram_range)
         return self.stages.transform(df.withColumn("_tokens", tokens)).drop("_tokens", "_counts", "_tfidf", "_scaled")
 
     @property
@@ -47,10 +47,14 @@ class TfidfSteps:
         return self.stages.stages[0].vocabulary
 
 
+def _tokens_of(text: str, tokenizer: str | Callable[[Column], Column] | None, ngram_range: tuple[int, int]) -> Column:
+    return ngrams(F.col(text) if tokenizer is None else tokenise(F.col(text), tokenizer), *ngram_range)
+
+
 def fit_tfidf(
     df: DataFrame,
     text: str = "text",
-    tokenizer: str | Callable[[Column], Column] = "space",
+    tokenizer: str | Callable[[Column], Column] | None = "space",
     ngram_range: tuple[int, int] = (1, 1),
     min_df: float | int = 1,
     max_df: float | int = 1.0,
@@ -59,11 +63,13 @@ def fit_tfidf(
 ) -> TfidfSteps:
     """Counts, idf + 1 and a row norm as pyspark.ml steps. The vocabulary held by the driver has ``max_features`` entries.
 
-    Spark's idf has no '+ 1', so the fitted idf vector is shifted and applied as an element-wise product.
+    Spark's idf has no '+ 1', so the fitted idf vector is shifted and applied as an element-wise product. Without a tokenizer
+    ``text`` is a column of tokens in a written table, which is not written again.
     """
     if min_df == 1.0:
         min_df = 1
-    tokens = stage(spread(df.select(text)).select(ngrams(tokenise(F.col(text), tokenizer), *ngram_range).alias("_tokens")), "tokens")
+    tokens = _tokens_of(text, tokenizer, ngram_range).alias("_tokens")
+    tokens = df.select(tokens) if tokenizer is None else stage(spread(df.select(text)).select(tokens), "tokens")
     n_docs = tokens.count()
     counter = CountVectorizer(
         inputCol="_tokens", outputCol="_counts", vocabSize=max_features or 2**31 - 1,
@@ -109,7 +115,8 @@ class LabelModel:
 def fit_classifier(df: DataFrame, classifier: Estimator, label: str = "label") -> LabelModel:
     """Index labels, fit, and turn predicted indexes back into names."""
     indexer = label_indexer(label).setHandleInvalid("error").fit(df.select(label))
-    encoded = indexer.transform(df)
+    # a written table is read by few tasks; what one of them holds should not grow with the table
+    encoded = spread(indexer.transform(df), 1)
     fitted = classifier.fit(encoded)
     back = IndexToString(inputCol="prediction", outputCol="predicted", labels=indexer.labels)
     return LabelModel(PipelineModel([fitted, back]), list(indexer.labels))
