@@ -51,3 +51,13 @@ def test_spread_bounds_the_rows_of_a_partition(spark):
     assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread(few, 1).rdd.getNumPartitions() == 1
     many = spread(spark.range(2 * SPREAD_ROWS * spark.sparkContext.defaultParallelism, numPartitions=1))
     assert max(many.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()) <= 1.01 * SPREAD_ROWS
+
+
+def test_class_sums_are_formed_in_the_blocks(spark):
+    """No row per token leaves the tasks that find the norms."""
+    docs = spark.createDataFrame([(i, f"c{i % 2}", ["a", "b"], [1, 2]) for i in range(40)], "id long, label string, terms array<string>, tfs array<long>")
+    vocab = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "term string, idf double")
+    summed = bayes.term_values(docs, vocab, ["label"], "l2", "id")
+    assert "Generate explode(arrays_zip" not in summed._jdf.queryExecution().executedPlan().toString()
+    got = {(r.term, r.label): r.value for r in summed.collect()}
+    assert got == {(t, f"c{i}"): pytest.approx(20 * v / 17**0.5) for t, v in (("a", 1), ("b", 4)) for i in (0, 1)}
