@@ -115,9 +115,14 @@ class LabelModel:
 def fit_classifier(df: DataFrame, classifier: Estimator, label: str = "label") -> LabelModel:
     """Index labels, fit, and turn predicted indexes back into names."""
     indexer = label_indexer(label).setHandleInvalid("error").fit(df.select(label))
+    encoded = indexer.transform(df)
     # a written table is read by few tasks; what one of them holds should not grow with the table
-    encoded = spread(indexer.transform(df), 1)
-    fitted = classifier.fit(encoded)
+    dealt = spread(encoded, 1)
+    if dealt is not encoded:
+        dealt.persist()  # else every pass of the fit moves the rows again
+    fitted = classifier.fit(dealt)
+    if dealt is not encoded:
+        dealt.unpersist()
     back = IndexToString(inputCol="prediction", outputCol="predicted", labels=indexer.labels)
     return LabelModel(PipelineModel([fitted, back]), list(indexer.labels))
 
