@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -100,6 +101,21 @@ def test_written_counts_give_the_scores_of_the_texts(spark, tmp_path):
     assert sorted(kept.collect()) == sorted(r for r in docs.collect() if r.doc_id in clean)
 
 
+def test_examples_reach_the_driver_packed(spark):
+    rows = [(i, f"n{i} " + " ".join(f"{'bg'[i % 2]}{(i * 7 + j) % 100:02d}" for j in range(60))) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).localCheckpoint()
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")).localCheckpoint()
+    tracemalloc.start()
+    try:
+        model = toxicity.fit(docs, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    pairs = len(model.index.weight)
+    # indexes hold some 100 bytes for each feature of an example; one object for each would need several times that
+    assert pairs > 100_000 and peak < 220 * pairs, peak / pairs
+
+
 # -- surrogates ----------------------------------------------------------------------------------------------------------
 
 MENTIONS = [

@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -215,6 +216,11 @@ def monotone_fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([b[2] / b[1] for b in blocks]), np.array([b[0] / b[1] for b in blocks])
 
 
+def counts_in(pairs: bytes) -> dict[int, int]:
+    """How often each feature occurs, from a value of ``COUNTS``."""
+    return dict(np.frombuffer(pairs, dtype="<i4").reshape(-1, 2).tolist())
+
+
 class KnownRuns:
     """Which runs hold features, found once each; the table of those that hold none has two generations, so both are bounded."""
 
@@ -337,7 +343,7 @@ class ToxicityModel:
         if len(known) > 20_000:
             known.clear()
         new = [x for x in dict.fromkeys(pairs) if x not in known]
-        votes = self.votes_of([dict(np.frombuffer(x, dtype="<i4").reshape(-1, 2).tolist()) for x in new])
+        votes = self.votes_of([counts_in(x) for x in new])
         known.update({x: self._scored(*vote) for x, vote in zip(new, votes, strict=True)})
         return [known[x] for x in pairs]
 
@@ -465,29 +471,26 @@ def fit_and_count(
     model = ToxicityModel(names, np.log((1.0 + documents) / (1.0 + frequency)) + 1.0, rate, without_evidence=rate, neighbours=neighbours)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        held = shared.value.counts_of(batch.column(1).to_pylist())
-        pairs = [[{"feature": f, "times": n} for f, n in c.items()] for c in held]
-        kind = pa.list_(pa.struct([("feature", pa.int64()), ("times", pa.int64())]))
-        return pa.record_batch([batch.column(0), batch.column(2), pa.array(pairs, kind)], ["id", "toxic", "counts"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in batches_of(batch):
-                yield count(part)
-
-    counted_examples = examples.select("id", "text", "toxic").mapInArrow(run, "id bigint, toxic int, counts array<struct<feature: bigint, times: bigint>>")
-    rows = sorted(counted_examples.collect(), key=lambda r: r["id"])  # at most max_examples
-    bare = [r["toxic"] for r in rows if not r["counts"]]
-    rows = [r for r in rows if r["counts"]]
-    model.ids, model.toxic = np.array([r["id"] for r in rows], dtype=np.int64), np.array([r["toxic"] for r in rows], dtype=np.int64)
-    counts = [{c["feature"]: c["times"] for c in r["counts"]} for r in rows]
+                pairs = pa.array(shared.value.pairs_of(part.column(1).to_pylist()), pa.binary())
+                yield pa.record_batch([part.column(0), part.column(2), pairs], ["id", "toxic", "pairs"])
+
+    # at most max_examples; they reach the driver packed, as an object for each feature of each example fills its memory
+    found = examples.select("id", "text", "toxic").mapInArrow(run, "id bigint, toxic int, pairs binary").toArrow()
+    found = found.take(pa.array(np.argsort(found["id"].to_numpy(), kind="stable")))
+    known = pc.greater(pc.binary_length(found["pairs"]), 0)
+    bare = found.filter(pc.invert(known))["toxic"].to_pylist()
+    found = found.filter(known)
+    model.ids, model.toxic, pairs = found["id"].to_numpy(), found["toxic"].to_numpy().astype(np.int64), found["pairs"].to_pylist()
+    vectors = [model.vector(counts_in(x)) for x in pairs]
     # examples with the same strongest features lie together, so few blocks hold a feature and their bounds are close
-    strongest = [tuple(f[np.lexsort((f, -w))].tolist()) for f, w in map(model.vector, counts)]
-    order = sorted(range(len(rows)), key=lambda i: (strongest[i], rows[i]["id"]))
-    model.ids, model.toxic, counts = model.ids[order], model.toxic[order], [counts[i] for i in order]
-    model.index = BlockMaxIndex([model.vector(c) for c in counts], len(names))
-    votes = _votes_without_self(docs.sparkSession, model, counts)
+    strongest = [f[np.lexsort((f, -w))].astype(">i4").tobytes() for f, w in vectors]  # in the order of the numbers
+    order = sorted(range(len(pairs)), key=lambda i: (strongest[i], model.ids[i]))
+    model.ids, model.toxic, pairs = model.ids[order], model.toxic[order], [pairs[i] for i in order]
+    model.index = BlockMaxIndex([vectors[i] for i in order], len(names))
+    votes = _votes_without_self(docs.sparkSession, model, pairs)
     voted = np.array([v is not None for v in votes], dtype=bool)
     bare += model.toxic[~voted].tolist()
     model.without_evidence = (sum(bare) + rate) / (len(bare) + 1.0)
@@ -496,18 +499,18 @@ def fit_and_count(
     return model, counted
 
 
-def _votes_without_self(spark: SparkSession, model: ToxicityModel, counts: list[dict[int, int]]) -> list[float | None]:
+def _votes_without_self(spark: SparkSession, model: ToxicityModel, pairs: list[bytes]) -> list[float | None]:
     """Vote of every example among the others."""
-    shared = spark.sparkContext.broadcast((model, counts))
+    shared = spark.sparkContext.broadcast((model, pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, vectors = shared.value
+        held, packed = shared.value
         for batch in batches:
             places = batch.column(0).to_pylist()
-            votes = [v for v, _, _ in held.votes_of([vectors[i] for i in places], places)]
+            votes = [v for v, _, _ in held.votes_of([counts_in(packed[i]) for i in places], places)]
             yield pa.record_batch([pa.array(places, pa.int64()), pa.array(votes, pa.float64())], ["place", "vote"])
 
-    found = spark.range(len(counts)).mapInArrow(run, "place bigint, vote double").collect()
+    found = spark.range(len(pairs)).mapInArrow(run, "place bigint, vote double").collect()
     return [r["vote"] for r in sorted(found, key=lambda r: r["place"])]
 
 
