@@ -6,6 +6,8 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import (
@@ -18,8 +20,9 @@ from pyspark.sql import functions as F
 
 from textmill.functions.tags import build_tag, powerset_label
 from textmill.functions.text import ngrams, tokenise
+from textmill.operators import features
 from textmill.operators.aggregates import balanced_weights, with_weights
-from textmill.staging import spread, stage
+from textmill.staging import spread, stage, stage_buckets
 
 NORM_P = {"l1": 1.0, "l2": 2.0}
 
@@ -217,74 +220,182 @@ class Projection:
     residual: float
 
 
-def _weighted_sums(amount: str, column: str, width: int) -> Column:
-    """Array of the sums of ``amount`` times each position of an array column."""
-    return F.expr("array(" + ", ".join(f"coalesce(sum({amount} * {column}[{i}]), 0D)" for i in range(width)) + ")")
-
-
 def _combined(column: str, matrix: np.ndarray) -> Column:
     """An array column times a small matrix."""
     return F.expr("array(" + ", ".join(" + ".join(f"{column}[{i}] * {float(x)!r}D" for i, x in enumerate(col)) for col in matrix.T) + ")")
 
 
+def _at(terms: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Document of each entry, its term, and where the entries of each document begin."""
+    lists = terms.combine_chunks()
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.repeat(np.arange(len(lists)), sizes), lists.flatten(), np.cumsum(sizes) - sizes
+
+
+def _matrix(lists: pa.ChunkedArray, width: int) -> np.ndarray:
+    return lists.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+
+
+def _lists(matrix: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(matrix) + 1) * matrix.shape[1], pa.int32()), pa.array(matrix.ravel()))
+
+
+def _row_sums(where: np.ndarray, weights: np.ndarray, vectors: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of weighted vectors, vectors[rows[i]] at where[i]; one column is held at a time."""
+    return np.stack([np.bincount(where, weights=weights * vectors[rows, j], minlength=n) for j in range(vectors.shape[1])], axis=1).astype(np.float64)
+
+
 def project_2d(values: DataFrame, key: str = "id", oversampling: int = 6, tol: float = 1e-4, max_rounds: int = 30) -> Projection:
-    """The two first principal components of sparse rows (key, term, value), by randomised subspace iteration.
-
-    The iteration holds a few directions (2 + ``oversampling``) as one array per term. A round multiplies the centred matrix with
-    them and its transpose with the result: two joins and sums over the given rows. Only matrices of directions times
-    directions reach the driver, which makes the directions orthogonal; the mean is subtracted from the products, never from
-    the rows. It ends when both residuals |C v - l v| / l are below ``tol``, or with an error after ``max_rounds``. The
-    largest weight of a component is positive, ties by the first term. A key whose rows have no term or value is a point of
-    zeros before centring; with fewer than two terms or rows, and where nothing varies, coordinates are 0.
+    """The two first principal components of sparse rows (key, term, value); see :func:`project_packed`.
+
+    A key whose rows have no term or value is a point of zeros before centring.
     """
-    rows = stage(values.filter(F.col("term").isNotNull() & F.col("value").isNotNull()).select(key, "term", F.col("value").cast("double").alias("value")), "projected-rows")
-    keys = stage(values.select(key).distinct(), "projected-keys")
-    n, width = keys.count(), 2 + oversampling
-    sums = rows.groupBy("term").agg(F.sum("value").alias("sum"))
-    start = F.array(*[(F.pmod(F.xxhash64("term", F.lit(i)), F.lit(2_000_003)) / 1_000_001.5 - 1).alias("q") for i in range(width)])
-    basis = stage(sums.select("term", (F.col("sum") / max(n, 1)).alias("mean"), start.alias("q")), "directions")
-
-    def gram(left: str, right: str, of: DataFrame) -> np.ndarray:
-        cells = ", ".join(f"coalesce(sum({left}[{i}] * {right}[{j}]), 0D)" for i in range(width) for j in range(width))
+    entry = F.when(F.col("term").isNotNull() & F.col("value").isNotNull(), F.struct("term", F.col("value").cast("double").alias("value")))
+    packed = values.groupBy(key).agg(F.collect_list(entry).alias("e"))
+    packed = stage(packed.select(key, F.col("e.term").alias("terms"), F.col("e.value").alias("tfs")), "projected-rows")
+    n, size = packed.agg(F.count("*"), F.coalesce(F.sum(F.array_size("terms")), F.lit(0))).first()
+    blocks = max(values.sparkSession.sparkContext.defaultParallelism, -(-n // features.BUCKET_DOCS), -(-16 * size // features.BUCKET_BYTES))
+    block = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("_block")
+    rows = stage_buckets(packed.select(block, key, "terms", "tfs"), "_block", blocks, "projected-blocks")
+    return project_packed(rows, blocks, lambda n: F.lit(1.0), None, key, oversampling, tol, max_rounds)
+
+
+def project_packed(
+    rows: DataFrame, blocks: int, idf: Callable[[Column], Column], norm: str | None = "l2", key: str = "id", oversampling: int = 6, tol: float = 1e-4,
+    max_rounds: int = 30,
+) -> Projection:
+    """The two first principal components of packed rows (_block, key, terms, tfs), by randomised subspace iteration.
+
+    ``rows`` are written in ``blocks`` buckets with one row per key. The value of an entry is tf * ``idf`` (of the number of entries
+    of its term) over the length of its row where ``norm`` is l2.
+
+    The iteration holds a few directions (2 + ``oversampling``). A round multiplies the centred matrix with them and its
+    transpose with the result. The rows never move: a block is sent the directions of its terms and returns one sum per term,
+    and the projected rows are the state between the rounds. A term that has one entry needs no direction of its own: it is
+    a multiple of its row's point, so a row keeps the sum of squares of such entries, and they are never sent. Only matrices of
+    directions times directions reach the driver, which makes the directions orthogonal; the rows of the projection are centred, never
+    the rows given. It ends when both residuals |C v - l v| / l are below ``tol``, or with an error after ``max_rounds``. The
+    largest weight of a component is positive, ties by the last term. A row without entries is a point of zeros before
+    centring; with fewer than two terms or rows, and where nothing varies, coordinates are 0.
+    """
+    spark, width = rows.sparkSession, 2 + oversampling
+    shown = f"`{key}` {rows.schema[key].dataType.simpleString()}"
+    per_block = rows.select("_block", F.explode("terms").alias("term")).groupBy("_block", "term").agg(F.count("*").alias("n"))
+    terms = per_block.groupBy("term").agg(F.sum("n").alias("n"), F.collect_list("_block").alias("blocks"))
+    terms = stage(terms.select("term", "n", idf(F.col("n")).alias("idf"), "blocks"), "projected-terms")
+    single_idf = spark.range(1).select(idf(F.lit(1).cast("bigint"))).first()[0]
+    start = F.array(*[(F.pmod(F.xxhash64("term", F.lit(i)), F.lit(2_000_003)) / 1_000_001.5 - 1) for i in range(width)])
+
+    def gram(of: DataFrame, column: str, amount: str = "1D") -> np.ndarray:
+        cells = ", ".join(f"coalesce(sum({amount} * {column}[{i}] * {column}[{j}]), 0D)" for i in range(width) for j in range(width))
         return np.array(of.agg(F.expr(f"array({cells})").alias("g")).first()["g"]).reshape(width, width)
 
     def orthonormal(of: np.ndarray) -> np.ndarray:
         """Matrix that turns directions with these products into orthonormal ones; those without length become zero."""
         values, vectors = np.linalg.eigh(of)
         keep = values > max(values.max(), 0.0) * 1e-14
-        return vectors[:, keep][:, ::-1] / np.sqrt(values[keep][::-1]) if keep.any() else np.zeros((width, 0))
-
-    def padded(matrix: np.ndarray) -> np.ndarray:
-        return np.hstack([matrix, np.zeros((width, width - matrix.shape[1]))])
-
-    basis = stage(basis.select("term", "mean", _combined("q", padded(orthonormal(gram("q", "q", basis)))).alias("q")), "directions")
+        found = vectors[:, keep][:, ::-1] / np.sqrt(values[keep][::-1]) if keep.any() else np.zeros((width, 0))
+        return np.hstack([found, np.zeros((width, width - found.shape[1]))])
+
+    def beside(other: DataFrame, run, schema: str) -> DataFrame:
+        """Each block of rows with what was sent to it."""
+        return rows.groupBy("_block").cogroup(other.repartition(blocks, "_block").groupBy("_block")).applyInArrow(run, schema)
+
+    def first(docs: pa.Table, known: pa.Table) -> pa.Table:
+        at, term, begin = _at(docs["terms"])
+        place = pc.index_in(term, value_set=known["term"].combine_chunks()).to_numpy().astype(np.int64)
+        value = docs["tfs"].combine_chunks().flatten().to_numpy() * known["idf"].to_numpy()[place]
+        n = len(docs)
+        size = np.sqrt(np.bincount(at, weights=value * value, minlength=n)) if norm == "l2" else np.ones(n)
+        size = np.where(size > 0, size, 1.0)
+        value = value / size[at]
+        projected = _row_sums(at, value, _matrix(known["q"], width), place, n)
+        alone = known["n"].to_numpy()[place] == 1
+        single = np.bincount(at[alone], weights=value[alone] ** 2, minlength=n).astype(np.float64)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(at[alone], minlength=n))])
+        alone = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((np.arange(len(at)) - begin[at])[alone], pa.int32()))
+        return pa.table([docs["_block"], docs[key], _lists(projected), pa.array(size), pa.array(single), alone], ["_block", key, "p", "size", "single", "alone"])
+
+    def aligned(docs: pa.Table, state: pa.Table) -> pa.Table:
+        return state.take(pc.index_in(docs[key].combine_chunks(), value_set=state[key].combine_chunks()))
+
+    def lone(state: pa.Table, begin: np.ndarray, entries: int) -> np.ndarray:
+        lists = state["alone"].combine_chunks()
+        mask = np.zeros(entries, bool)
+        mask[np.repeat(begin, pc.list_value_length(lists).to_numpy(zero_copy_only=False)) + lists.flatten().to_numpy()] = True
+        return mask
+
+    def term_sums(docs: pa.Table, state: pa.Table) -> pa.Table:
+        if not len(docs):
+            return pa.table([pa.array([], pa.string()), pa.array([], pa.list_(pa.float64()))], ["term", "s"])
+        state, (at, term, begin) = aligned(docs, state), _at(docs["terms"])
+        held = ~lone(state, begin, len(at))
+        coded = term.filter(pa.array(held)).dictionary_encode()
+        value = (docs["tfs"].combine_chunks().flatten().to_numpy() / state["size"].to_numpy()[at])[held]
+        sums = _row_sums(coded.indices.to_numpy(zero_copy_only=False), value, _matrix(state["y"], width), at[held], len(coded.dictionary))
+        return pa.table([coded.dictionary, _lists(sums)], ["term", "s"])
+
+    def project(turn: np.ndarray):
+        def run(docs: pa.Table, sent: pa.Table) -> pa.Table:
+            known = sent.filter(pc.is_valid(sent["term"]))
+            state = aligned(docs, sent.filter(pc.is_null(sent["term"])))
+            at, term, _ = _at(docs["terms"])
+            place = pc.index_in(term, value_set=known["term"].combine_chunks())
+            found = place.is_valid().to_numpy(zero_copy_only=False)
+            place = pc.fill_null(place, 0).to_numpy()[found].astype(np.int64)
+            size, single = state["size"].to_numpy(), state["single"].to_numpy()
+            value = docs["tfs"].combine_chunks().flatten().to_numpy()[found]
+            sums = _row_sums(at[found], value / size[at[found]], _matrix(known["r"], width), place, len(docs))
+            projected = sums + single[:, None] * (_matrix(state["y"], width) @ turn)
+            return pa.table([docs["_block"], docs[key], _lists(projected), *[state[c] for c in ("size", "single", "alone")]], ["_block", key, "p", "size", "single", "alone"])
+
+        return run
+
+    def lone_directions(docs: pa.Table, state: pa.Table) -> pa.Table:
+        if not len(docs):
+            return pa.table([pa.array([], pa.string()), pa.array([], pa.list_(pa.float64()))], ["term", "z"])
+        state, (at, term, begin) = aligned(docs, state), _at(docs["terms"])
+        mask = lone(state, begin, len(at))
+        value = (docs["tfs"].combine_chunks().flatten().to_numpy() / state["size"].to_numpy()[at])[mask] * single_idf
+        return pa.table([term.filter(pa.array(mask)), _lists(value[:, None] * _matrix(state["y"], width)[at[mask]])], ["term", "z"])
+
+    state_of = f"_block int, {shown}, p array<double>, size double, single double, alone array<int>"
+    initial = terms.select("term", "n", "idf", "blocks", start.alias("q"))
+    turn = orthonormal(gram(initial, "q"))
+    directions = initial.select("term", _combined("q", turn).alias("q"))
+    sent = initial.select(F.explode("blocks").alias("_block"), "term", "n", "idf", _combined("q", turn).alias("q"))
+    state = stage(beside(sent, first, state_of), "projected")
     residual = 0.0
     for _ in range(max_rounds):
-        shift = basis.agg(_weighted_sums("mean", "q", width).alias("m")).first()["m"]
-        projected = rows.join(basis.select("term", "q"), "term").groupBy(key).agg(_weighted_sums("value", "q", width).alias("p"))
-        centred = F.expr("array(" + ", ".join(f"coalesce(p[{i}], 0D) - {float(m)!r}D" for i, m in enumerate(shift)) + ")")
-        points = stage(keys.join(projected, key, "left").select(key, centred.alias("y")), "projected")
-        # the rows of y sum to zero, so the mean drops out of the second product
-        image = rows.join(points, key).groupBy("term").agg(_weighted_sums("value", "y", width).alias("z"))
-        image = stage(basis.join(image, "term").select("term", "mean", "q", "z"), "images")
-        inner, outer = gram("q", "z", image), gram("z", "z", image)
-        found, turn = np.linalg.eigh((inner + inner.T) / 2)
-        found, turn = np.maximum(found[::-1], 0.0), turn[:, ::-1]
+        n, *means = state.agg(F.count("*"), *[F.coalesce(F.avg(F.col("p")[i]), F.lit(0.0)) for i in range(width)]).first()
+        centred = F.expr("array(" + ", ".join(f"p[{i}] - {float(m)!r}D" for i, m in enumerate(means)) + ")")
+        points = state.select("_block", key, centred.alias("y"), "size", "single", "alone")
+        summed = beside(points, term_sums, "term string, s array<double>").groupBy("term").agg(*[F.sum(F.col("s")[i]).alias(f"_{i}") for i in range(width)])
+        image = summed.join(terms.filter("n > 1").select("term", "idf", "blocks"), "term")
+        image = stage(image.select("term", "idf", "blocks", F.array(*[F.col("idf") * F.col(f"_{i}") for i in range(width)]).alias("z")), "images")
+        inner, outer = gram(points, "y"), gram(image, "z") + gram(points, "y", "single")
+        found, axes = np.linalg.eigh((inner + inner.T) / 2)
+        found, axes = np.maximum(found[::-1], 0.0), axes[:, ::-1]
         # |C v - l v|^2 = v' C C v - l^2 for a direction v of length 1 with v' C v = l
-        spare = [max(turn[:, i] @ outer @ turn[:, i] - found[i] ** 2, 0.0) ** 0.5 / found[i] if found[i] > 1e-12 else 0.0 for i in (0, 1)]
+        spare = [max(axes[:, i] @ outer @ axes[:, i] - found[i] ** 2, 0.0) ** 0.5 / found[i] if found[i] > 1e-12 else 0.0 for i in (0, 1)]
         residual = max(spare)
         if residual < tol:
             break
-        basis = stage(image.select("term", "mean", _combined("z", padded(orthonormal(outer))).alias("q")), "directions")
+        turn = orthonormal(outer)
+        singles = beside(points, lone_directions, "term string, z array<double>")
+        directions = image.select("term", "z").unionByName(singles).select("term", _combined("z", turn).alias("q"))
+        known = image.select(F.explode("blocks").alias("_block"), "term", _combined("z", turn).alias("q"), "idf")
+        known = known.select("_block", "term", F.transform("q", lambda x: x * F.col("idf")).alias("r"))
+        state = stage(beside(known.unionByName(points, allowMissingColumns=True), project(turn), state_of), "projected")
     else:
         raise RuntimeError(f"the components still move by {residual:.1e} after {max_rounds} rounds")
-    pair = turn[:, :2] * (found[:2] > 1e-12)
-    turned = basis.select("term", _combined("q", pair).alias("c"))
+    pair = axes[:, :2] * (found[:2] > 1e-12)
+    turned = directions.select("term", _combined("q", pair).alias("c"))
     heads = turned.agg(*[F.max_by(F.col("c")[i], F.struct(F.abs(F.col("c")[i]), F.col("term"))).alias(f"_{i}") for i in (0, 1)]).first()
     pair = pair * np.array([-1.0 if (h or 0.0) < 0 else 1.0 for h in heads])
     place = _combined("y", pair)
     return Projection(
-        points.select(key, place[0].alias("x"), place[1].alias("y")), basis.select("term", _combined("q", pair).alias("c")).select("term", F.col("c")[0].alias("x"), F.col("c")[1].alias("y")),
+        points.select(key, place[0].alias("x"), place[1].alias("y")), directions.select("term", _combined("q", pair).alias("c")).select("term", F.col("c")[0].alias("x"), F.col("c")[1].alias("y")),
         [float(x) / max(n - 1, 1) for x in found[:2]], residual,
     )
 
