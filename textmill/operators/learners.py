@@ -338,7 +338,7 @@ def project_packed(
     def project(turn: np.ndarray):
         def run(docs: pa.Table, sent: pa.Table) -> pa.Table:
             known = sent.filter(pc.is_valid(sent["term"]))
-            state = aligned(docs, sent.filter(pc.is_null(sent["term"])))
+            state = aligned(docs, sent.filter(pc.is_null(sent["term"])).rename_columns({"r": "y"}))
             at, term, _ = _at(docs["terms"])
             place = pc.index_in(term, value_set=known["term"].combine_chunks())
             found = place.is_valid().to_numpy(zero_copy_only=False)
@@ -385,8 +385,10 @@ def project_packed(
         singles = beside(points, lone_directions, "term string, z array<double>")
         directions = image.select("term", "z").unionByName(singles).select("term", _combined("z", turn).alias("q"))
         known = image.select(F.explode("blocks").alias("_block"), "term", _combined("z", turn).alias("q"), "idf")
-        known = known.select("_block", "term", F.transform("q", lambda x: x * F.col("idf")).alias("r"))
-        state = stage(beside(known.unionByName(points, allowMissingColumns=True), project(turn), state_of), "projected")
+        known = known.select("_block", "term", F.transform("q", lambda x: x * F.col("idf")).alias("r"), F.array().cast("array<int>").alias("alone"))
+        # no array is null: null lists are slow to send
+        held = points.withColumnRenamed("y", "r")
+        state = stage(beside(known.unionByName(held, allowMissingColumns=True), project(turn), state_of), "projected")
     else:
         raise RuntimeError(f"the components still move by {residual:.1e} after {max_rounds} rounds")
     pair = axes[:, :2] * (found[:2] > 1e-12)
