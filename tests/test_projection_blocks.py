@@ -3,8 +3,9 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from textmill.operators import learners
+from textmill.operators import features, learners
 from textmill.staging import stage_buckets
 
 
@@ -43,3 +44,16 @@ def test_terms_with_one_entry_are_never_sent(spark, monkeypatch):
         axis = axis * np.sign(axis[np.abs(axis).argmax()])
         assert [points[keys[i]][j] for i in range(40)] == pytest.approx((centred @ axis).tolist(), abs=1e-5)
         assert [components[f"t{t:02d}"][j] for t in range(52)] == pytest.approx(axis.tolist(), abs=1e-4)
+
+
+def test_vectorising_moves_no_entry_of_a_document(spark, monkeypatch):
+    monkeypatch.setattr(features, "OUT_ROWS", 3)
+    rows = [(1, "a b a"), (1, "b c"), (None, "a a"), (2, None), (3, "c d"), (4, "")]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    values = features.tfidf_vectorise(docs, "text", min_df=2, ngram_range=(1, 1))
+    plan = values._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "tfs" in line] and "Window" not in plan
+    counts = features.term_counts(features.explode_tokens(docs, "text"))
+    plain = features.normalise(features.tfidf(counts, features.fit_vocab(counts, 2, n_docs=F.lit(6))))
+    got = {(r.id, r.term): (r.tf, r.value) for r in values.collect()}
+    assert got == {(r.id, r.term): (r.tf, pytest.approx(r.value)) for r in plain.collect()} and len(got) == 4
