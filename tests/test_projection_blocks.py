@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textmill.operators import features, learners
-from textmill.staging import stage_buckets
+from textmill.staging import bucket_of, stage_buckets
 
 
 def test_buckets_are_grouped_without_a_move(spark):
@@ -57,3 +57,9 @@ def test_vectorising_moves_no_entry_of_a_document(spark, monkeypatch):
     plain = features.normalise(features.tfidf(counts, features.fit_vocab(counts, 2, n_docs=F.lit(6))))
     got = {(r.id, r.term): (r.tf, r.value) for r in values.collect()}
     assert got == {(r.id, r.term): (r.tf, pytest.approx(r.value)) for r in plain.collect()} and len(got) == 4
+
+
+def test_every_block_has_a_bucket_of_its_own(spark):
+    df = spark.range(1000)
+    found = df.select(bucket_of(df, "id", 24).alias("b")).groupBy("b").agg(F.count("*").alias("n")).repartition(24, "b")
+    assert found.rdd.glom().map(len).collect() == [1] * 24

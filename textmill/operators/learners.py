@@ -22,7 +22,7 @@ from textmill.functions.tags import build_tag, powerset_label
 from textmill.functions.text import ngrams, tokenise
 from textmill.operators import features
 from textmill.operators.aggregates import balanced_weights, with_weights
-from textmill.staging import spread, stage, stage_buckets
+from textmill.staging import bucket_of, spread, stage, stage_buckets
 
 NORM_P = {"l1": 1.0, "l2": 2.0}
 
@@ -255,7 +255,7 @@ def project_2d(values: DataFrame, key: str = "id", oversampling: int = 6, tol: f
     packed = stage(packed.select(key, F.col("e.term").alias("terms"), F.col("e.value").alias("tfs")), "projected-rows")
     n, size = packed.agg(F.count("*"), F.coalesce(F.sum(F.array_size("terms")), F.lit(0))).first()
     blocks = max(values.sparkSession.sparkContext.defaultParallelism, -(-n // features.BUCKET_DOCS), -(-16 * size // features.BUCKET_BYTES))
-    block = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("_block")
+    block = bucket_of(packed, key, blocks).alias("_block")
     rows = stage_buckets(packed.select(block, key, "terms", "tfs"), "_block", blocks, "projected-blocks")
     return project_packed(rows, blocks, lambda n: F.lit(1.0), None, key, oversampling, tol, max_rounds)
 
