@@ -70,3 +70,9 @@ def test_many_points_move_the_documents_no_more_often(spark, sf, monkeypatch):
     monkeypatch.setattr(sweep, "stage_buckets", lambda *a, plain=sweep.stage_buckets, **b: moved.append(1) or plain(*a, **b))
     monkeypatch.setattr(searching.bayes, "fit_nb", lambda *a, **b: pytest.fail("a fit of its own"))
     assert QUERIES["random_search"](spark, sf).count() == 2 and len(moved) == 1
+
+
+def test_tune_runs_all_trials_of_the_source(spark, sf):
+    rows = QUERIES["tune"](spark, sf).collect()
+    assert len(rows) == 50 and {r.cv_folds for r in rows} == {5.0}
+    assert all((r.test_score == 0.0) == (r.min_df > r.max_df) for r in rows) and sum(r.test_score > 0 for r in rows) == 28
