@@ -76,3 +76,16 @@ def test_tune_runs_all_trials_of_the_source(spark, sf):
     rows = QUERIES["tune"](spark, sf).collect()
     assert len(rows) == 50 and {r.cv_folds for r in rows} == {5.0}
     assert all((r.test_score == 0.0) == (r.min_df > r.max_df) for r in rows) and sum(r.test_score > 0 for r in rows) == 28
+
+
+def test_history_writes_no_text_and_its_batches_as_bytes(spark, sf, monkeypatch):
+    """The text is counted where it lies, and the batches, which every share reads, are compressed."""
+    from textmill.operators import bayes
+    from textmill.registered import learning
+
+    written = {}
+    for module in (learning, bayes):
+        monkeypatch.setattr(module, "stage", lambda df, name="stage", plain=module.stage: written.update({name: dict(df.dtypes)}) or plain(df, name))
+    assert learning.batch_history(spark, sf).count() == 1
+    assert not any("text" in columns for columns in written.values())
+    assert {written["batch-cells"][c] for c in ("idx", "ends", "tf")} == {"binary"}
