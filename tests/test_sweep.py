@@ -89,3 +89,8 @@ def test_history_writes_no_text_and_its_batches_as_bytes(spark, sf, monkeypatch)
     assert learning.batch_history(spark, sf).count() == 1
     assert not any("text" in columns for columns in written.values())
     assert {written["batch-cells"][c] for c in ("idx", "ends", "tf")} == {"binary"}
+
+
+def test_ml_tfidf_cuts_the_text_once(spark, sf):
+    plan = QUERIES["ml_tfidf"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "words#" in plan and "text#" not in plan
